@@ -49,33 +49,52 @@ def timestamp_from_digits(text) -> Column:
     return F.when(c.rlike(_DIGITS14), _timestamp_from_fields(*pieces))
 
 
-# Parts joined by "_": any, a 14-digit time, any, a second 14-digit time, any.
-_VIDEO_NAME = r"^((?:[^_]*_)*?)([0-9]{14})_((?:[^_]*_)*?)([0-9]{14})((?:_.*)?)$"
+# A path whose stem is parts joined by "_": any, a 14-digit time, any, a second
+# 14-digit time, any. A trailing (n) is not part of the stem.
+_TIME = "([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})"
+_VIDEO_PATH = (
+    r"^(?:.*/)?((?:[^_/]*_)*?)" + _TIME + r"_((?:[^_/]*_)*?)" + _TIME
+    + r"(_[^/]*?)?(?:\([0-9]+\))?(?:\.[^./]+$|(?<!\.[^/.]{0,255})$)")
+_VIDEO_FIELDS = "$15/$1$8/$2-$3-$4 $5:$6:$7/$9-$10-$11 $12:$13:$14"
 
 
-def parse_video_name(path) -> Column:
-    """Struct (camera, start_time, end_time) from a video file name, or NULL.
+def video_fields(path) -> Column:
+    """``rest/camera_/start/end`` of a video path; other paths pass unchanged.
 
-    The name is split at ``_``; the first two 14-digit parts are the times and
-    the other parts in front of the second time form the camera name. Plain
-    patterns, so the expression stays in generated code.
+    One pattern does all the matching, and the times come out with a fixed width,
+    so the fields can be cut by position.
     """
-    name = F.regexp_replace(stem(path), r"\([0-9]+\)$", "")
+    return F.regexp_replace(as_column(path), _VIDEO_PATH, _VIDEO_FIELDS)
+
+
+def fields_times(fields) -> tuple[Column, Column]:
+    """Start and end time in :func:`video_fields`; both NULL for any other path."""
+    c = as_column(fields)
+    shaped = (
+        (F.substring(c, -20, 1) == "/") & (F.substring(c, -40, 1) == "/")
+        & (F.substr(c, F.lit(1), F.length(c) - 40) != "/")
+        & (F.substring(c, -39, 4) != "0000") & (F.substring(c, -19, 4) != "0000"))
+    return tuple(
+        F.when(shaped, F.substring(c, at, 19).try_cast("timestamp_ntz")) for at in (-39, -19))
+
+
+def fields_camera(fields) -> Column:
+    """Camera name in :func:`video_fields`."""
+    return F.regexp_extract(as_column(fields), "([^/]*)_/.{19}/.{19}$", 1)
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(name, _VIDEO_NAME, i)
 
-    start, end = timestamp_from_digits(group(2)), timestamp_from_digits(group(4))
-    other_parts = F.concat(group(1), group(3))
-    third_part = F.concat(other_parts, group(5)) != ""
+def parse_video_name(path) -> Column:
+    """Struct (camera, start_time, end_time) from a video file name, or NULL.
+
+    The stem is split at ``_``; the first two 14-digit parts are the times and
+    the other parts in front of the second time form the camera name.
+    """
+    fields = video_fields(path)
+    start, end = fields_times(fields)
     return F.when(
-        start.isNotNull() & end.isNotNull() & third_part,
-        F.struct(
-            F.regexp_replace(other_parts, "_$", "").alias("camera"),
-            start.alias("start_time"),
-            end.alias("end_time"),
-        ),
-    )
+        start.isNotNull() & end.isNotNull(),
+        F.struct(fields_camera(fields).alias("camera"), start.alias("start_time"),
+                 end.alias("end_time")))
 
 
 def relative_seconds(text) -> Column:

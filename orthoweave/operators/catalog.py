@@ -31,26 +31,36 @@ def union_listings(listings: list[DataFrame], path: str = "path") -> DataFrame:
     return merged.distinct()
 
 
+def _dated_paths(paths: DataFrame, path: str) -> DataFrame:
+    """Distinct paths with the times in their names.
+
+    The listing has to be made distinct anyway. The times are found in that
+    aggregation, so that later filters on them do not match the name again.
+    """
+    start, end = names.fields_times("_f")
+    return (
+        paths.select(F.col(path).alias("path"), names.video_fields(path).alias("_f"))
+        .groupBy("path").agg(F.max(start).alias("start_time"), F.max(end).alias("end_time"))
+    )
+
+
 def catalog_segments(paths: DataFrame, base: str | None = None, path: str = "path") -> DataFrame:
     """Segments (path, camera, start_time, end_time) of the names that can be parsed.
 
     With ``base`` the folders below it become part of the camera name.
     """
-    parsed = paths.withColumn("_v", names.parse_video_name(path)).where("_v IS NOT NULL")
-    camera = F.col("_v.camera")
+    camera = names.fields_camera(names.video_fields("path"))
     if base is not None:
-        camera = names.qualified_camera(camera, path, base)
-    return parsed.select(
-        F.col(path).alias("path"),
-        camera.alias("camera"),
-        F.col("_v.start_time").alias("start_time"),
-        F.col("_v.end_time").alias("end_time"),
+        camera = names.qualified_camera(camera, "path", base)
+    return (
+        _dated_paths(paths, path).where("start_time IS NOT NULL AND end_time IS NOT NULL")
+        .select("path", camera.alias("camera"), "start_time", "end_time")
     )
 
 
 def unparsed_videos(paths: DataFrame, path: str = "path") -> DataFrame:
     """Paths that give no segment."""
-    return paths.where(names.parse_video_name(path).isNull()).select(path)
+    return _dated_paths(paths, path).where("start_time IS NULL OR end_time IS NULL").select("path")
 
 
 def ordered_segments(segments: DataFrame) -> DataFrame:

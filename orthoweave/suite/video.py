@@ -48,9 +48,9 @@ def union_extensions(spark, sf_dir):
 # --- names ---------------------------------------------------------------------------------
 
 PARSED = """
-    select path, regexp_extract(path, '/(dac[0-9]+)/', 1)
+    select distinct path, regexp_extract(path, '/(dac[0-9]+)/', 1)
              ||'_'||regexp_extract(path, '(N910A6_ch[0-9]+_main)_', 1) camera,
-           start_time, end_time, event_id from segs where event_id%11<>0"""
+           start_time, end_time from segs where event_id%11<>0"""
 
 
 @query("P1_parse_video_name", with_views("segs", f"""
@@ -69,7 +69,7 @@ def qualified_camera(spark, sf_dir):
     return catalog.catalog_segments(paths, base="/v").select("path", "camera")
 
 
-@query("F1_unparsed_videos", with_views("segs", "select path from segs where event_id%11=0"))
+@query("F1_unparsed_videos", with_views("segs", "select distinct path from segs where event_id%11=0"))
 def unparsed_videos(spark, sf_dir):
     return catalog.unparsed_videos(views.segments(spark, sf_dir))
 
