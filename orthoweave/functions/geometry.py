@@ -147,42 +147,49 @@ def undistort_angle(theta_d: Column, k) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(INVERSE_STEPS)), start, step)
 
 
-def undistort_point(u: Column, v: Column, model: CameraModel) -> tuple[Column, Column]:
-    """Normalised direction of an image position."""
+def undistort_point(u: Column, v: Column, model: CameraModel) -> Column:
+    """Struct (x, y): the normalised direction of an image position."""
     a, b = (u - model.cx) / model.fx, (v - model.cy) / model.fy
     theta_d = F.least(F.sqrt(a * a + b * b), F.lit(3.141592653589793 / 2))
     scale = F.when(theta_d > SMALL_RADIUS, F.tan(undistort_angle(theta_d, model.k)) / theta_d)
     scale = F.coalesce(scale, F.lit(1.0))
-    return a * scale, b * scale
+    return F.struct((a * scale).alias("x"), (b * scale).alias("y"))
 
 
-def undistorted_camera(model: CameraModel, width, height, balance: float = 0.0) -> Column:
+def edge_midpoints(width, height, model: CameraModel) -> Column:
+    """Array of the undistorted midpoints of the four image edges."""
+    w, h = as_column(width).cast("double"), as_column(height).cast("double")
+    return F.array(*[
+        undistort_point(u, v, model)
+        for u, v in ((w / 2, F.lit(0.0)), (w, h / 2), (w / 2, h), (F.lit(0.0), h / 2))])
+
+
+def fitting_view(edges: str, width, height, model: CameraModel, balance: float = 0.0) -> Column:
     """Struct (fx, fy, cx, cy) of the view that shows an undistorted frame.
 
-    The midpoints of the four image edges are undistorted; the focal length lets
-    the widest (``balance`` 1) or the narrowest (0) of them reach its edge.
+    ``edges`` names a column of :func:`edge_midpoints`. The focal length lets the
+    widest (``balance`` 1) or the narrowest (0) of them reach its image edge.
     """
     w, h = as_column(width).cast("double"), as_column(height).cast("double")
-    edges = [
-        undistort_point(u, v, model)
-        for u, v in ((w / 2, F.lit(0.0)), (w, h / 2), (w / 2, h), (F.lit(0.0), h / 2))
-    ]
     aspect = model.fx / model.fy
-    xs, ys = [e[0] for e in edges], [e[1] * aspect for e in edges]
-    mean_x = (xs[0] + xs[1] + xs[2] + xs[3]) / 4
-    mean_y = (ys[0] + ys[1] + ys[2] + ys[3]) / 4
-    reach = [
-        w * 0.5 / (mean_x - F.least(*xs)),
-        w * 0.5 / (F.greatest(*xs) - mean_x),
-        h * 0.5 * aspect / (mean_y - F.least(*ys)),
-        h * 0.5 * aspect / (F.greatest(*ys) - mean_y),
-    ]
-    focal = F.lit(float(balance)) * F.least(*reach) + F.lit(1.0 - balance) * F.greatest(*reach)
+    xs = F.transform(edges, lambda e: e["x"])
+    ys = F.transform(edges, lambda e: e["y"] * aspect)
+
+    def mean(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / 4
+
+    reach = F.array(
+        w * 0.5 / (mean(xs) - F.array_min(xs)),
+        w * 0.5 / (F.array_max(xs) - mean(xs)),
+        h * 0.5 * aspect / (mean(ys) - F.array_min(ys)),
+        h * 0.5 * aspect / (F.array_max(ys) - mean(ys)),
+    )
+    focal = F.lit(float(balance)) * F.array_min(reach) + F.lit(1.0 - balance) * F.array_max(reach)
     return F.struct(
         focal.alias("fx"),
         (focal / aspect).alias("fy"),
-        (-mean_x * focal + w * 0.5).alias("cx"),
-        ((-mean_y * focal + h * aspect * 0.5) / aspect).alias("cy"),
+        (-mean(xs) * focal + w * 0.5).alias("cx"),
+        ((-mean(ys) * focal + h * aspect * 0.5) / aspect).alias("cy"),
     )
 
 

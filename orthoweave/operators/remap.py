@@ -74,9 +74,11 @@ def build_ortho_map(gcps: DataFrame, calibrations: DataFrame, dem: DataFrame,
 def undistort_map(calibrations: DataFrame, balance: float = 0.0) -> DataFrame:
     """Map that shows each camera's frame without its distortion."""
     model = geometry.CameraModel.of_record()
-    views = calibrations.select(
+    views = calibrations.withColumn(
+        "_edges", geometry.edge_midpoints("image_width", "image_height", model),
+    ).select(
         "camera", *MODEL_COLUMNS, "image_width", "image_height",
-        geometry.undistorted_camera(model, "image_width", "image_height", balance).alias("view"),
+        geometry.fitting_view("_edges", "image_width", "image_height", model, balance).alias("view"),
         F.col("image_width").alias("width"), F.col("image_height").alias("height"),
         *[F.lit(0.0).alias(c) for c in dem_ops.GEO],
     )

@@ -195,11 +195,14 @@ def mosaic_seam(pixel_rows: DataFrame, images: DataFrame, method: str = "gradien
         new = images_table.where(F.col("seq") == step).drop("seq")
         region = _merge(new, state)
         lines_path, state_path = f"{folder}/lines/seq={step}", f"{folder}/state/seq={step}"
-        seam_lines(_overlap_cost(region, method)).write.parquet(lines_path)
+        lines = seam_lines(_overlap_cost(region, method))
+        if seams:
+            lines.write.parquet(lines_path)
+            lines = spark.read.schema(line_schema).parquet(lines_path).drop("seq")
         nexts = placed.where(F.col("seq") == step).select("ts", "next_col")
         done = F.col("next_col").isNull() | (F.col("mosaic_col") < F.col("next_col"))
         (
-            apply_seam(region, spark.read.schema(line_schema).parquet(lines_path).drop("seq"))
+            apply_seam(region, lines)
             .join(nexts, "ts")
             .withColumn("done", done.cast("int"))
             .drop("next_col")
