@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orthoweave.functions import names
-from orthoweave.operators import catalog, matching, mosaic, remap, status
+from orthoweave.operators import catalog, matching, mosaic, remap, status, tiles
 from orthoweave.plans import mosaics, orthos
 from orthoweave.plans import run as runs
 from orthoweave.session import work_dir
@@ -225,3 +225,38 @@ _RUN_VIEWS = {
 def run_stages(spark, sf_dir):
     """Extract, orthorectify and mosaic with stage tables; the summary per stage."""
     return runs.summary(runs.run(spark, run_inputs(spark, sf_dir), work_dir(spark, "run")))
+
+
+# --- tile form -----------------------------------------------------------------------------
+
+# Small tiles, so that the small images of the suite are cut into several.
+SUITE_TILE = 4
+
+
+@query("J5_remap_tiles", with_views("orthopx", "select ts, camera, row, col, b, g, r from orthopx"))
+def remap_tiles(spark, sf_dir):
+    """The gather in tile form."""
+    frame_tiles = tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
+    lookup = tiles.map_tiles(views.lookup_map(spark, sf_dir), SUITE_TILE)
+    built = tiles.to_pixels(tiles.remap_tiles(frame_tiles, lookup, size=SUITE_TILE), SUITE_TILE)
+    # a tile is a full block; pixels the map does not list are not part of the output
+    return built.join(views.lookup_map(spark, sf_dir).select("camera", "row", "col"),
+                      ["camera", "row", "col"], "left_semi")
+
+
+def _mosaic_tiles(spark, sf_dir, method):
+    frame_tiles = tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
+    built = tiles.mosaic_tiles(frame_tiles, views.images(spark, sf_dir), method, size=SUITE_TILE)
+    return tiles.mosaic_tile_pixels(built, SUITE_TILE)
+
+
+@query("A12_mosaic_center_tiles", _best("priority desc, pos", "priority>0"))
+def mosaic_center_tiles(spark, sf_dir):
+    """The centre mosaic in tile form."""
+    return _mosaic_tiles(spark, sf_dir, "center")
+
+
+@query("A12_mosaic_order_tiles", _best("pos desc", "true"))
+def mosaic_order_tiles(spark, sf_dir):
+    """The file-order mosaic in tile form."""
+    return _mosaic_tiles(spark, sf_dir, "order")
