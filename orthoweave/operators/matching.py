@@ -11,6 +11,10 @@ from orthoweave.functions.util import as_column
 # Copies of the small side of a join whose key may be dominated by one camera.
 SALTS = 16
 
+# Beginnings of identifiers that are compared before whole identifiers.
+HEAD_LENGTH = 4
+MAX_HEADS = 200
+
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list[str],
                 how: str = "inner", salts: int = SALTS) -> DataFrame:
@@ -27,27 +31,30 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list
 def contains_join(texts: DataFrame, text: str, ids: DataFrame, id_column: str) -> DataFrame:
     """All pairs where ``text`` contains the identifier, planned as an equi-join.
 
-    Every piece of the text that is as long as some identifier is looked up. The
-    set of identifier lengths is a handful of integers.
+    Every piece of the text that is as long as some identifier is looked up; a
+    pair is taken at its first position only. Positions where no identifier can
+    begin are dropped first, as long as the identifiers begin in few ways.
     """
-    lengths = sorted(
-        row[0] for row in
-        ids.select(F.length(id_column)).where(F.length(id_column) > 0).distinct().collect())
+    shapes = ids.where(F.length(id_column) > 0).select(F.length(id_column).alias("n"))
+    lengths = sorted(row.n for row in shapes.distinct().collect())  # a handful of integers
     if not lengths:
         return texts.where("false").join(ids, F.col(text) == F.col(id_column))
-
-    def pieces(width: int) -> Column:
-        count = F.length(text) - F.lit(width) + 1
-        starts = F.when(count > 0, F.sequence(F.lit(1), count))
-        return F.coalesce(
-            F.transform(starts, lambda i: F.substr(F.col(text), i, F.lit(width))),
-            F.array().cast("array<string>"))
-
-    candidates = F.array_distinct(F.flatten(F.array(*[pieces(n) for n in lengths])))
+    head = min(lengths[0], HEAD_LENGTH)
+    heads = ids.select(F.substring(id_column, 1, head)).distinct().limit(MAX_HEADS + 1).collect()
+    placed = texts.where(F.length(text) >= lengths[0]).withColumn(
+        "_at", F.explode(F.sequence(F.lit(1), F.length(text) - (lengths[0] - 1))))
+    if len(heads) <= MAX_HEADS:
+        beginning = F.substr(F.col(text), F.col("_at"), F.lit(head))
+        placed = placed.where(beginning.isin([row[0] for row in heads]))
+    pieces = (
+        placed.withColumn("_width", F.explode(F.array(*[F.lit(n) for n in lengths])))
+        .where(F.length(text) >= F.col("_at") + F.col("_width") - 1)
+        .withColumn("_piece", F.substr(F.col(text), F.col("_at"), F.col("_width")))
+    )
     return (
-        texts.withColumn("_piece", F.explode(candidates))
-        .join(ids, F.col("_piece") == F.col(id_column))
-        .drop("_piece")
+        pieces.join(ids, F.col("_piece") == F.col(id_column))
+        .where(F.instr(F.col(text), F.col(id_column)) == F.col("_at"))
+        .drop("_width", "_at", "_piece")
     )
 
 
