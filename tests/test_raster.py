@@ -209,6 +209,21 @@ def test_mosaic_aggregates_before_the_shuffle(spark):
     assert not re.search(r"SortAggregate\(key=\[ts#\d+L, mosaic_row", plan)
 
 
+def test_more_images_than_the_fast_rank_holds(spark):
+    """Equal priorities go to the first file, a better one wins, on both sides of the limit."""
+    rows = [(1, p, 0, 0, 1, 1, 3, 3, p % 255 + 1, 0, 0) for p in range(1020, 1501)]
+    columns = ("ts long, position int, mosaic_row int, mosaic_col int, region_row int, region_col int, "
+               "region_height int, region_width int, b int, g int, r int")
+    tied = spark.createDataFrame(rows, columns)
+    assert mosaic.priority_argmax(tied).first().position == 1020
+    late = tied.where("position > 1024")
+    assert mosaic.priority_argmax(late).first().position == 1025
+    # position 1 is off the centre, so the late image at the centre is chosen
+    off = tied.where("position = 1020").withColumn("region_col", F.lit(0))
+    assert mosaic.priority_argmax(off.unionByName(late)).first().position == 1025
+    assert mosaic.priority_argmax(tied, "order").first().position == 1500
+
+
 def test_priority_rank_loses_nothing(spark):
     values = np.random.default_rng(0).random(2000)
     p = 1.0 - values
