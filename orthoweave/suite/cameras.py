@@ -250,13 +250,13 @@ def gcp_for_camera(spark, sf_dir):
     select event_id, 'NVR'||cast(1+camera//8 as varchar)||'_N910A6_ch'||cast(1+camera%8 as varchar)||'_main'
            camera_name from segs"""))
 def apply_channel_map(spark, sf_dir):
-    channel = (F.col("s_suppkey") % 16).cast("int")
-    channel_map = views.table(spark, sf_dir, "supplier").select(
-        (channel + 1).alias("channel"),
-        F.concat(F.lit("NVR"), (1 + F.floor(channel / 8)).cast("string"), F.lit("_N910A6_ch"),
-                 (1 + channel % 8).cast("string"), F.lit("_main")).alias("camera_name")).distinct()
-    return matching.apply_channel_map(
-        views.segments(spark, sf_dir), channel_map, F.col("camera") + 1).select("event_id", "camera_name")
+    segments = views.segments(spark, sf_dir)
+    channel = F.col("camera") + 1
+    channel_map = segments.select(
+        channel.alias("channel"),
+        F.concat(F.lit("NVR"), F.expr("1 + camera div 8").cast("string"), F.lit("_N910A6_ch"),
+                 (1 + F.col("camera") % 8).cast("string"), F.lit("_main")).alias("camera_name")).distinct()
+    return matching.apply_channel_map(segments, channel_map, channel).select("event_id", "camera_name")
 
 
 # --- store ---------------------------------------------------------------------------------
@@ -303,52 +303,57 @@ def _edges(store):
     return row[0], row[1]
 
 
-@query("U2_upsert_camera", with_views("calib", """
+@query("U2_upsert_camera", with_views("calib", f"""
     select '20991231' as version, camera, candidate, case when rms>4 then 0.5::double else rms end rms, n_gcps
-    from store where version='20251002'""", STORE))
+    from store where version={_EDGE[0]}""", STORE))
 def upsert_camera(spark, sf_dir):
     store = _store(spark, sf_dir)
-    records = store.where("version = '20251002' AND rms > 4").withColumn("rms", F.lit(0.5))
-    return calibration.upsert_camera(store, "20251002", "20991231", records)
+    first, _ = _edges(store)
+    records = store.where((F.col("version") == first) & (F.col("rms") > 4)).withColumn(
+        "rms", F.lit(0.5))
+    return calibration.upsert_camera(store, first, "20991231", records)
 
 
 @query("U3_copy_camera", with_views("calib", f"""
-    select * from store where not (version='20251002' and camera='cam3') union all
-    select '20251002', camera, candidate, rms, n_gcps from store where version={_EDGE[0]} and camera='cam3'""",
+    select * from store where not (version={_EDGE[0]} and camera='cam3') union all
+    select {_EDGE[0]}, camera, candidate, rms, n_gcps from store where version={_EDGE[1]} and camera='cam3'""",
     STORE))
 def copy_camera(spark, sf_dir):
     store = _store(spark, sf_dir)
-    first, _ = _edges(store)
+    first, last = _edges(store)
     return calibration.with_version(
-        store, "20251002", calibration.copy_camera(store, first, "20251002", "cam3"))
+        store, first, calibration.copy_camera(store, last, first, "cam3"))
 
 
-@query("U4_delete_camera", with_views("calib", """
-    select * from store where not (version='20251002' and camera='cam5')""", STORE))
+@query("U4_delete_camera", with_views("calib", f"""
+    select * from store where not (version={_EDGE[0]} and camera='cam5')""", STORE))
 def delete_camera(spark, sf_dir):
     store = _store(spark, sf_dir)
+    first, _ = _edges(store)
     return calibration.with_version(
-        store, "20251002", calibration.delete_camera(store, "20251002", "cam5"))
+        store, first, calibration.delete_camera(store, first, "cam5"))
 
 
 @query("U5_restore_camera", with_views("calib", "select * from store", STORE))
 def restore_camera(spark, sf_dir):
     """Backup, change, restore: the store is as before."""
     store = _store(spark, sf_dir)
-    label = calibration.backup_label("cam5", "20251002")
-    saved = calibration.backup(store, "20251002", label, "cam5")
+    first, _ = _edges(store)
+    label = calibration.backup_label("cam5", first)
+    saved = calibration.backup(store, first, label, "cam5")
     changed = calibration.with_version(
-        store, "20251002", calibration.delete_camera(store, "20251002", "cam5"))
-    restored = calibration.restore_camera(changed.unionByName(saved), label, "20251002", "cam5")
-    return calibration.with_version(changed, "20251002", restored)
+        store, first, calibration.delete_camera(store, first, "cam5"))
+    restored = calibration.restore_camera(changed.unionByName(saved), label, first, "cam5")
+    return calibration.with_version(changed, first, restored)
 
 
-@query("U6_backup", with_views("calib", """
+@query("U6_backup", with_views("calib", f"""
     select * from store union all
-    select 'backup_before_delete', camera, candidate, rms, n_gcps from store where version='20251003'""", STORE))
+    select 'backup_before_delete', camera, candidate, rms, n_gcps from store where version={_EDGE[0]}""", STORE))
 def backup(spark, sf_dir):
     store = _store(spark, sf_dir)
-    return store.unionByName(calibration.backup(store, "20251003", "backup_before_delete"))
+    first, _ = _edges(store)
+    return store.unionByName(calibration.backup(store, first, "backup_before_delete"))
 
 
 @query("U7_rename_camera", with_views("calib", """

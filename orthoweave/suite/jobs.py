@@ -98,14 +98,15 @@ def channel_map(spark, sf_dir):
 
 
 @query("SRC6_SNK6_calibrations", with_views("calib", """
-    select version, candidate, camera, f, case when version='20251002' then rms+1 else rms end rms
+    select version, candidate, camera, f, case when version=(select min(version) from calib) then rms+1 else rms end rms
     from calib"""))
 def calibration_store(spark, sf_dir):
     """The store written, one version replaced, and read back."""
     folder = work_dir(spark, "calibrations")
     store = views.calibrations(spark, sf_dir)
     tables.write_calibrations(store, folder)
-    changed = tables.read_calibrations(spark, folder, "20251002").withColumn("rms", F.col("rms") + 1)
+    first = store.agg(F.min("version")).first()[0]
+    changed = tables.read_calibrations(spark, folder, first).withColumn("rms", F.col("rms") + 1)
     # the changed version goes through a table of its own: a table cannot replace what it reads
     tables.write_calibrations(changed, folder + "-new")
     tables.write_calibrations(tables.read_calibrations(spark, folder + "-new"), folder)
