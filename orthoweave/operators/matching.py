@@ -11,6 +11,9 @@ from orthoweave.functions.util import as_column
 # Copies of the small side of a join whose key may be dominated by one camera.
 SALTS = 16
 
+# Image metadata rows, about 100 bytes each, that every executor may hold.
+METADATA_ROWS = 2_000_000
+
 # Beginnings of identifiers that are compared before whole identifiers.
 HEAD_LENGTH = 4
 MAX_HEADS = 200
@@ -28,6 +31,16 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list
     return big.withColumn("_salt", part).join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def with_metadata(data: DataFrame, metadata: DataFrame, on: list[str]) -> DataFrame:
+    """Pixels or tiles joined with rows about their image.
+
+    Up to METADATA_ROWS rows of counted metadata are broadcast, so the pixels do
+    not move for this join; beyond that it is an ordinary shuffle join.
+    """
+    small = metadata.select(*on).count() <= METADATA_ROWS
+    return data.join(F.broadcast(metadata) if small else metadata, on)
+
+
 def contains_join(texts: DataFrame, text: str, ids: DataFrame, id_column: str) -> DataFrame:
     """All pairs where ``text`` contains the identifier, planned as an equi-join.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orthoweave.functions import geometry, pixels
 from orthoweave.functions.util import truncated
+from orthoweave.operators.matching import with_metadata
 
 METHODS = ("center", "order")
 
@@ -120,7 +121,8 @@ PLACEMENT = ("position", "row_start", "col_start", "src_row", "src_col",
 
 def placed_pixels(pixel_rows: DataFrame, placed: DataFrame) -> DataFrame:
     """Pixels joined with the placement of their image, clipped to the mosaic."""
-    return to_mosaic(pixel_rows.join(placed.select("ts", "camera", *PLACEMENT), ["ts", "camera"]))
+    return to_mosaic(with_metadata(
+        pixel_rows, placed.select("ts", "camera", *PLACEMENT), ["ts", "camera"]))
 
 
 def to_mosaic(rows: DataFrame) -> DataFrame:
@@ -189,4 +191,5 @@ def mosaic_priority(pixel_rows: DataFrame, images: DataFrame, method: str = "cen
     """Priority mosaic of pixel rows: (ts, mosaic_row, mosaic_col, b, g, r, camera)."""
     placed = place_images(images, resolution, strict)
     best = priority_argmax(placed_pixels(pixel_rows, placed), method)
-    return best.join(placed.select("ts", "position", "camera"), ["ts", "position"]).drop("position")
+    names = placed.select("ts", "position", "camera")
+    return with_metadata(best, names, ["ts", "position"]).drop("position")

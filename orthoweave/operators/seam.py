@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from orthoweave.functions import pixels
 from orthoweave.operators import mosaic, neighbourhood
+from orthoweave.operators.matching import with_metadata
 from orthoweave.session import work_dir
 
 CELL = ["ts", "mosaic_row", "mosaic_col"]
@@ -171,7 +172,8 @@ def mosaic_seam(pixel_rows: DataFrame, images: DataFrame, method: str = "gradien
 
     # Every image's own cost is known in advance; steps then read their images only.
     carried = ["ts", "camera", "seq", *mosaic.PLACEMENT]
-    on_mosaic = mosaic.to_mosaic(pixel_rows.join(placed.select(*carried), ["ts", "camera"]))
+    on_mosaic = mosaic.to_mosaic(
+        with_metadata(pixel_rows, placed.select(*carried), ["ts", "camera"]))
     image_cost = _cost(
         on_mosaic.withColumn("gray", pixels.bgr_to_gray()), ["ts", "camera"], method, "cost_new")
     image_cost.select(
@@ -217,7 +219,7 @@ def mosaic_seam(pixel_rows: DataFrame, images: DataFrame, method: str = "gradien
                       T.StructField("done", T.IntegerType())])
     ).parquet(f"{folder}/state").where("done = 1")
     cameras = placed.select("ts", "position", "camera")
-    return finished.join(cameras, ["ts", "position"]).select(
+    return with_metadata(finished, cameras, ["ts", "position"]).select(
         *CELL, *pixels.unpack_bgr("px"), "camera")
 
 

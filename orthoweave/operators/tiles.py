@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from orthoweave.operators import mosaic
-from orthoweave.operators.matching import salted_join
+from orthoweave.operators.matching import salted_join, with_metadata
 from orthoweave.operators.remap import MAX_COORDINATE, SUBPIXEL, WEIGHT_SUM
 
 TILE = 256
@@ -235,7 +235,8 @@ def _priority(piece: dict, method: str) -> np.ndarray:
 
 def _mosaic_pieces(ortho_tiles: DataFrame, placed: DataFrame, size: int) -> DataFrame:
     """Ortho tiles clipped to the mosaic and cut along its tiles."""
-    joined = ortho_tiles.join(placed.select("ts", "camera", *mosaic.PLACEMENT), ["ts", "camera"])
+    joined = with_metadata(
+        ortho_tiles, placed.select("ts", "camera", *mosaic.PLACEMENT), ["ts", "camera"])
     schema = _struct(("tile_row", _INT), ("tile_col", _INT), *[(n, _INT) for n in _PIECE],
                      ("data", _BIN), keys=_key_types(ortho_tiles, "ts"))
     arrow = _arrow(schema)

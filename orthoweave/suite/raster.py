@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from orthoweave.functions import geometry, pixels
 from orthoweave.operators import dem as dem_ops
 from orthoweave.operators import mosaic, neighbourhood, remap, seam, status
+from orthoweave.operators.matching import with_metadata
 from orthoweave.suite import views
-from orthoweave.suite.oracle_views import VIEWS, projected, with_views
+from orthoweave.suite.oracle_views import projected, with_views
 from orthoweave.suite.registry import query
 
 # --- layout --------------------------------------------------------------------------------
@@ -72,7 +73,7 @@ def _placed_pixels(spark, sf_dir):
     """Images are joined with their placement first and become pixels afterwards."""
     placed = mosaic.place_images(views.images(spark, sf_dir)).select(
         "ts", "camera", *mosaic.PLACEMENT)
-    arrays = views.image_arrays(spark, sf_dir).join(placed, ["ts", "camera"])
+    arrays = with_metadata(views.image_arrays(spark, sf_dir), placed, ["ts", "camera"])
     return mosaic.to_mosaic(views.explode_pixels(arrays))
 
 
