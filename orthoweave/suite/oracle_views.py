@@ -173,7 +173,7 @@ def with_views(names: str, query: str, extra: dict[str, str] | None = None) -> s
     listed = [(n, VIEWS[n]) for n in _ordered(names.split(), [])]
     listed += list((extra or {}).items())
     ctes = ",\n".join(f"{n} as ({sql})" for n, sql in listed)
-    return f"with {ctes}\n{query}"
+    return f"with recursive {ctes}\n{query}"
 
 
 def projected(points: str, calibrations: str) -> dict[str, str]:

@@ -318,12 +318,67 @@ def _pair_costs(spark, sf_dir):
         "cost", (F.col("cost_new") + F.col("cost_old")) / 2)
 
 
-@query("S3_seam_lines")
+# cheapest path by recursion over the columns, then back from its end
+SEAM_VIEWS = {
+    **RASTER_VIEWS,
+    "gcost": """
+        select ts, camera, row, col, gradient/(max(gradient) over (partition by ts, camera)+1e-10::double) cst
+        from sobel""",
+    "pc": """
+        select m.*, g.cst from mpx m join gcost g on g.ts=m.ts and g.camera=m.camera and g.row=m.rr and g.col=m.rc
+        where greatest(b,g,r)>0""".replace("greatest(b,g,r)", "greatest(m.b,m.g,m.r)"),
+    "cells": """
+        select n.ts*1000+n.camera ts, n.mr, n.mc, (n.cst+o.cst)/2 as cost from pc n join pc o
+          on o.ts=n.ts and o.camera=n.camera-1 and o.mr=n.mr and o.mc=n.mc""",
+    "ends": "select ts, min(mc) l, max(mc) r from cells group by ts",
+    "reach": """
+        select ts, mr, mc, cost as d from cells join ends using (ts) where mc=l
+        union all
+        select c.ts, c.mr, c.mc, min(p.d)+c.cost from reach p join cells c
+          on c.ts=p.ts and c.mc=p.mc+1 and abs(c.mr-p.mr)<=1 group by c.ts, c.mr, c.mc, c.cost""",
+    "path": """
+        select ts, mc, min(struct_pack(d := d, mr := mr)).mr mr from reach join ends using (ts) where mc=r
+        group by ts, mc
+        union all
+        select q.ts, d.mc, min(struct_pack(d := d.d, mr := d.mr)).mr from path q join reach d
+          on d.ts=q.ts and d.mc=q.mc-1 and abs(d.mr-q.mr)<=1 group by q.ts, d.mc""",
+    "regions": "select ts*1000+camera ts, row_start, col_start, rh from placed",
+}
+
+
+@query("S3_seam_lines", with_views("px mpx", """
+    select c.ts, cast(c.mr as int) mosaic_row, cast(coalesce(min(p.mc), g.col_start) as int) seam_col
+    from cells c join ends e on e.ts=c.ts and c.mc=e.l join regions g on g.ts=c.ts
+    left join path p on p.ts=c.ts and p.mr=c.mr
+    where c.ts in (select ts from path) group by c.ts, c.mr, g.col_start
+    union all
+    select e.ts, cast(g.row_start+k as int), cast((l+r)//2 as int)
+    from ends e join regions g using (ts), lateral (select unnest(range(g.rh)) k)
+    where e.ts not in (select ts from path)""", SEAM_VIEWS))
 def seam_lines(spark, sf_dir):
-    """Seams between neighbouring images; the path search is checked by brute force in the tests."""
+    """Seams between all neighbouring images."""
     return seam.seam_lines(_pair_costs(spark, sf_dir))
 
 
+@query("S4_seam_mask", with_views("px mpx", """
+    select c.ts, c.mr mosaic_row, c.mc mosaic_col, coalesce(c.mc>=s.seam_col, false) use_new
+    from cells c left join (
+      select c.ts, c.mr, coalesce(min(p.mc), g.col_start) seam_col
+      from cells c join ends e on e.ts=c.ts and c.mc=e.l join regions g on g.ts=c.ts
+      left join path p on p.ts=c.ts and p.mr=c.mr
+      where c.ts in (select ts from path) group by c.ts, c.mr, g.col_start
+      union all
+      select c.ts, c.mr, (e.l+e.r)//2 from cells c join ends e using (ts)
+      where c.ts not in (select ts from path) group by all) s on s.ts=c.ts and s.mr=c.mr""", SEAM_VIEWS))
+def seam_mask(spark, sf_dir):
+    """Side of the seam of every cell that neighbouring images share."""
+    costs = _pair_costs(spark, sf_dir)
+    lines = seam.seam_lines(costs)
+    right = F.coalesce(F.col("mosaic_col") >= F.col("seam_col"), F.lit(False))
+    return costs.select(*seam.CELL).join(lines, ["ts", "mosaic_row"], "left").select(
+        *seam.CELL, right.alias("use_new"))
+
+
 @query("S2_mosaic_seam")
 def mosaic_seam(spark, sf_dir):
     """Whole seam mosaic; checked against a direct evaluation in the tests."""
