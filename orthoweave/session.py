@@ -16,6 +16,9 @@ def get_session(app_name: str = "orthoweave", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # stack traces per column expression make plans with many expressions slow to build
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

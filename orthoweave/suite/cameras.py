@@ -9,7 +9,7 @@ from orthoweave.operators import calibration, matching, remap
 from orthoweave.operators import dem as dem_ops
 from orthoweave.plans import orthos, recalibration
 from orthoweave.suite import views
-from orthoweave.suite.oracle_views import projected, with_views
+from orthoweave.suite.oracle_views import projected, undistorted, with_views
 from orthoweave.suite.registry import query
 
 # --- points --------------------------------------------------------------------------------
@@ -147,13 +147,16 @@ def best_calibration(spark, sf_dir):
     return found.withColumn("rms", F.round("rms", 5))
 
 
-@query("P15_fisheye_undistort_map")
+@query("P15_fisheye_undistort_map", with_views("calib", """
+    select camera, row, col, round(src_x::double, 3)+0.0::double src_x,
+           round(src_y::double, 3)+0.0::double src_y from umap""",
+    undistorted("select * replace (candidate as camera) from calib")))
 def fisheye_undistort_map(spark, sf_dir):
-    """Map of every camera record's undistorted view; properties are checked in the tests."""
+    """Map of every camera record's undistorted view."""
     records = views.calibrations(spark, sf_dir, small=True).withColumn("camera", F.col("candidate"))
     built = remap.undistort_map(records)
     return built.select("camera", "row", "col", *[
-        F.round(F.col(c).cast("double"), 3).alias(c) for c in ("src_x", "src_y")])
+        (F.round(F.col(c).cast("double"), 3) + 0.0).alias(c) for c in ("src_x", "src_y")])
 
 
 # --- names ---------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from orthoweave.plans import run as runs
 from orthoweave.session import work_dir
 from orthoweave.sources import files, tables
 from orthoweave.suite import views
-from orthoweave.suite.oracle_views import with_views
+from orthoweave.suite.oracle_views import VIEWS, undistorted, with_views
 from orthoweave.suite.raster import _best
 from orthoweave.suite.registry import query
 
@@ -184,9 +184,17 @@ def mosaic_center(spark, sf_dir):
     return mosaics.build_mosaics(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "center")
 
 
-@query("C9_undistort_frames")
+_UNDISTORTED = {
+    **undistorted("select * from latest"),
+    "utaps": VIEWS["taps"].replace("lmap", "umap"),
+    "upx": VIEWS["orthopx"].replace("join taps", "join utaps"),
+}
+
+
+@query("C9_undistort_frames", with_views("px images latest", """
+    select ts, camera, row, col, b, g, r from upx""", _UNDISTORTED))
 def undistort_frames(spark, sf_dir):
-    """All frames without lens distortion; properties are checked in the tests."""
+    """All frames without lens distortion."""
     return orthos.undistort_frames(
         views.pixels(spark, sf_dir), views.latest_calibrations(spark, sf_dir, small=True))
 

@@ -152,6 +152,9 @@ ROTATED = """
         from (select *, rx/th0 ux, ry/th0 uy, rz/th0 uz, cos(th0) cs, sin(th0) sn
               from (select *, sqrt(rx*rx+ry*ry+rz*rz) th0 from {calibrations}))"""
 
+# views of the stepwise seam mosaic, each used several times by the next step
+STEP_VIEWS = ("st", "reg", "og", "cl", "ln", "gcost")
+
 # views each view needs, in order
 NEEDS = {
     "picks": ["gcp"], "latest": ["calib"], "mgrid": ["images"], "placed": ["mgrid"],
@@ -172,7 +175,8 @@ def with_views(names: str, query: str, extra: dict[str, str] | None = None) -> s
     """The query behind the common table expressions it needs."""
     listed = [(n, VIEWS[n]) for n in _ordered(names.split(), [])]
     listed += list((extra or {}).items())
-    ctes = ",\n".join(f"{n} as ({sql})" for n, sql in listed)
+    ctes = ",\n".join(
+        f"{n} as {'materialized ' if n.startswith(STEP_VIEWS) else ''}({sql})" for n, sql in listed)
     return f"with recursive {ctes}\n{query}"
 
 
@@ -183,3 +187,35 @@ def projected(points: str, calibrations: str) -> dict[str, str]:
         "rot_points": f"select * from ({points}) pts join rot using (camera)",
         "project": VIEWS["project"],
     }
+
+
+def _newton_steps(source: str, steps: int = 10) -> str:
+    """Nested selects that refine the angle t of the distorted angle td."""
+    for _ in range(steps):
+        source = f"""select * replace (t-(t*(1+k1*t*t+k2*t*t*t*t)-td)/(1+3*k1*t*t+5*k2*t*t*t*t) as t)
+                     from ({source})"""
+    return source
+
+
+def undistorted(records: str) -> dict[str, str]:
+    """View ``umap``: the undistorted 8 x 8 view of camera records with focal length 6 + candidate % 3."""
+    edges = _newton_steps(f"""
+        select *, least(sqrt(a*a+b*b), pi()/2) td, least(sqrt(a*a+b*b), pi()/2) t from (
+          select camera, f, k1, k2, (u-4.0::double)/f a, (v-4.0::double)/f b
+          from (select camera, (6+candidate%3)::double f, k1, k2, unnest([4.0,8.0,4.0,0.0])::double u,
+                       unnest([0.0,4.0,8.0,4.0])::double v from ({records})))""")
+    return {
+        "uedges": f"select camera, f, k1, k2, a*tan(t)/td x, b*tan(t)/td y from ({edges})",
+        "uview": """
+            select camera, f, k1, k2, fo, -mx*fo+4.0::double cx, -my*fo+4.0::double cy from (
+              select *, greatest(4.0::double/(mx-lx), 4.0::double/(hx-mx), 4.0::double/(my-ly),
+                                 4.0::double/(hy-my)) fo
+              from (select camera, f, k1, k2, sum(x)/4 mx, sum(y)/4 my, min(x) lx, max(x) hx, min(y) ly,
+                           max(y) hy from uedges group by 1,2,3,4))""",
+        "umap": """
+            select camera, row, col, (a*sc*f+4.0::double)::float src_x, (b*sc*f+4.0::double)::float src_y from (
+              select *, case when rr>1e-8 then th*(1+k1*th*th+k2*th*th*th*th)/rr else 1 end sc
+              from (select *, atan(rr) th from (select *, sqrt(a*a+b*b) rr from (
+                select camera, f, k1, k2, row::int as row, col::int as col, (col-cx)/fo a, (row-cy)/fo b
+                from uview, (select unnest(range(8)) as row), (select unnest(range(8)) as col)))))""",
+    }

@@ -379,13 +379,82 @@ def seam_mask(spark, sf_dir):
         *seam.CELL, right.alias("use_new"))
 
 
-@query("S2_mosaic_seam")
+def _seam_steps(steps: int) -> dict[str, str]:
+    """Views st1, st2, ...: the seam mosaic after each image of every ts; ln1, ...: its cuts."""
+    found = {**RASTER_VIEWS, "gcost": SEAM_VIEWS["gcost"]}
+    found["seqs"] = """
+        select ts, camera, row_number() over (partition by ts order by x_min, file) seq from images"""
+    found["st0"] = """
+        select null::bigint ts, null::bigint mr, null::bigint mc, null::int b, null::int g, null::int r,
+               null::int camera where false"""
+    for k in range(1, steps + 1):
+        found[f"reg{k}"] = f"""
+            select m.ts, m.camera, m.rr, m.rc, m.mr, m.mc, m.rh, m.rw, m.b, m.g, m.r, g.cst,
+                   greatest(m.b,m.g,m.r)>0 ok, o.ts is not null old, o.b ob, o.g og, o.r orr, o.camera oc,
+                   (3735*coalesce(o.b,0)+19235*coalesce(o.g,0)+9798*coalesce(o.r,0)+16384)//32768 gray
+            from mpx m join seqs s on s.ts=m.ts and s.camera=m.camera and s.seq={k}
+            join gcost g on g.ts=m.ts and g.camera=m.camera and g.row=m.rr and g.col=m.rc
+            left join st{k - 1} o on o.ts=m.ts and o.mr=m.mr and o.mc=m.mc"""
+        renamed = f"(select ts, camera, rr as row, rc as col, gray from reg{k})"
+        found[f"og{k}"] = f"""
+            select ts, row, col, gradient/(max(gradient) over (partition by ts)+1e-10::double) cst
+            from ({SOBEL.replace("from grays", "from " + renamed)})"""
+        found[f"cl{k}"] = f"""
+            select n.ts, n.mr, n.mc, (n.cst+o.cst)/2 as cost from reg{k} n
+            join og{k} o on o.ts=n.ts and o.row=n.rr and o.col=n.rc where n.ok and n.old"""
+        for name, sql in (("ends", "en"), ("reach", "rc"), ("path", "pt")):
+            text = SEAM_VIEWS[name]
+            for old, new in (("cells", "cl"), ("ends", "en"), ("reach", "rc"), ("path", "pt")):
+                text = text.replace(f" {old} ", f" {new}{k} ")
+            found[f"{sql}{k}"] = text
+        found[f"ln{k}"] = f"""
+            select c.ts, c.mr, coalesce(min(p.mc), min(c.mc-n.rc)) cut
+            from cl{k} c join en{k} e on e.ts=c.ts and c.mc=e.l
+            join reg{k} n on n.ts=c.ts and n.mr=c.mr and n.mc=c.mc
+            left join pt{k} p on p.ts=c.ts and p.mr=c.mr
+            where c.ts in (select ts from pt{k}) group by c.ts, c.mr
+            union all
+            select distinct n.ts, n.mr, (e.l+e.r)//2 from reg{k} n join en{k} e on e.ts=n.ts
+            where n.ts not in (select ts from pt{k})"""
+        found[f"st{k}"] = f"""
+            select o.* from st{k - 1} o left join reg{k} n on n.ts=o.ts and n.mr=o.mr and n.mc=o.mc
+            where n.ts is null
+            union all
+            select ts, mr, mc, case when u then b else ob end, case when u then g else og end,
+                   case when u then r else orr end, case when u then camera else oc end
+            from (select n.*, n.ok and (not n.old or coalesce(n.mc>=l.cut, false)) u
+                  from reg{k} n left join ln{k} l on l.ts=n.ts and l.mr=n.mr)
+            where u or old"""
+    return found
+
+
+# the suite has 16 cameras, so no ts has more images
+_STEPS = 16
+
+
+@query("S2_mosaic_seam", with_views("px mpx images", f"""
+    select ts, cast(mr as int) mosaic_row, cast(mc as int) mosaic_col, b, g, r, camera from st{_STEPS}""",
+    _seam_steps(_STEPS)))
 def mosaic_seam(spark, sf_dir):
-    """Whole seam mosaic; checked against a direct evaluation in the tests."""
+    """Whole seam mosaic."""
     return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir))
 
 
-@query("S5_seam_map")
+def _seam_marks(steps: int) -> str:
+    """Cells left of a cut that touch a cell right of it, over all steps."""
+    sides = []
+    for k in range(1, steps + 1):
+        side = f"""(select n.ts, n.mr, n.mc, coalesce(n.mc>=l.cut, false) m
+                    from reg{k} n left join ln{k} l on l.ts=n.ts and l.mr=n.mr)"""
+        sides.append(f"""
+            select p.ts, p.mr, p.mc from {side} p join {side} q
+              on q.ts=p.ts and abs(q.mr-p.mr)<=1 and abs(q.mc-p.mc)<=1 where q.m and not p.m""")
+    return " union ".join(sides)
+
+
+@query("S5_seam_map", with_views("px mpx images", f"""
+    select ts, cast(mr as int) mosaic_row, cast(mc as int) mosaic_col from ({_seam_marks(_STEPS)})""",
+    _seam_steps(_STEPS)))
 def seam_map(spark, sf_dir):
     """Seam boundaries of the whole seam mosaic."""
     return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir), seams=True)
