@@ -72,6 +72,17 @@ def world_files(spark, sf_dir):
     return files.parse_world_text(tables.read_world_texts(spark, folder))
 
 
+@query("SRC2_image_pixels", with_views("px", """
+    select cast(ts as varchar)||'/'||cast(camera as varchar)||'.tif' path, row, col, b, g, r from px"""))
+def image_pixels(spark, sf_dir):
+    """All images as binary rows, the form an image folder is read in, unpacked to pixels."""
+    blocks = tiles.to_tiles(views.pixels(spark, sf_dir), views.SIDE)
+    scanned = blocks.select(
+        F.concat(F.col("ts").cast("string"), F.lit("/"), F.col("camera").cast("string"), F.lit(".tif")).alias("path"),
+        "height", "width", F.lit(3).alias("n_channels"), "data")
+    return files.image_pixels(scanned)
+
+
 @query("SRC4_SNK5_gcp_csv", with_views("picks", """
     select 'cam'||cast(camera as varchar) camera_name, X, Y, Z, col_sample, row_sample from picks"""))
 def gcp_csv(spark, sf_dir):
