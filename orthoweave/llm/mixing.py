@@ -20,8 +20,9 @@ WEIGHTS = (5, 2, 1)
 #: Slopes of the schedules, dealt likewise: the heaviest sources fade, others grow.
 SLOPES = (-0.5, 0.25, 0.5)
 MAX_PASSES = 3
-#: Parts of a source in which running totals are formed; totals of parts are then added.
-PARTS = 65536
+#: Hex digits of the id's hash that name a part of a source. Running totals are formed
+#: in parts, then over the parts.
+PART_DIGITS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -66,7 +67,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     Order inside a source is by a hash of the id, so reruns agree; rows with equal id,
     size and text may swap, which changes nothing in the result. A copy is taken when
     its middle lies before the target, so a source misses its target by half a document
-    at most. Running totals are formed in PARTS parts of a source and then over parts:
+    at most. Running totals are formed in 16 ** PART_DIGITS parts of a source and then over parts:
     no task sorts a whole source.
     """
     d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
@@ -77,7 +78,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _positions(d: DataFrame) -> DataFrame:
-    d = d.withColumn("_hash", F.xxhash64("_id")).withColumn("_part", F.pmod("_hash", F.lit(PARTS)))
+    d = d.withColumn("_hash", F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary")))
+    d = d.withColumn("_part", F.substring("_hash", 1, PART_DIGITS))
     parts = d.groupBy("source", "_part").agg(F.sum("size").alias("_part_size"))
     targets = source_targets(parts.select("source", F.col("_part_size").alias("size")))
     running = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -43,4 +43,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
-MIXING = None
+#: Weights 5, 2, 1 by rank; sources stop at three times their size; a copy is taken when
+#: its middle lies before the target.
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+    row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source
+), p AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0))::DOUBLE
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS price
+  FROM s WINDOW before AS (ORDER BY 3 * source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, least(3.0 * source_size,
+    weight * max(CASE WHEN price * weight <= 3 * source_size THEN price END) OVER ())::DOUBLE AS target FROM p
+), c AS (
+  SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source
+    ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d
+)
+SELECT doc_id, size, source_size, target,
+  (size * ((before + size / 2.0 <= target)::INT + (before + size / 2.0 + source_size <= target)::INT
+    + (before + size / 2.0 + 2 * source_size <= target)::INT))::BIGINT AS taken
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+"""
