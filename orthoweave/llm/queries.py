@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orthoweave.llm import mixing, oracles, quality_classifier, quality_rules, simhash
+from orthoweave.llm import (
+    decontamination, mixing, oracles, quality_classifier, quality_rules, simhash, token_output, warc)
 from orthoweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +32,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_removed_lines", "n_lost_words")
 
 
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_warc")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op4_mixing", oracles.MIXING)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_summary(table(spark, sf_dir, "documents"))
@@ -44,3 +56,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_classifier")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_token_output")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_output.token_digest(table(spark, sf_dir, "documents"), path)
