@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orthoweave.llm import (
-    decontamination, mixing, oracles, quality_classifier, quality_rules, simhash, token_output, warc)
+    decontamination, mixing, ngram_model, oracles, quality_classifier, quality_rules, simhash, token_output, warc)
 from orthoweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_summary(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.held_out_scores(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op6_simhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"))
