@@ -16,9 +16,6 @@ that occur once are left to the shorter context, as is usual for large corpora.
 
 from __future__ import annotations
 
-import io
-import os
-import tempfile
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orthoweave.llm.common import attempt_name, bucket_of_id, materialise, open_fs, write_file
+from orthoweave.llm.array_files import load_arrays, save_arrays
+from orthoweave.llm.common import attempt_name, bucket_of_id, materialise
 from orthoweave.llm.elias_fano import EliasFano, encode
 from orthoweave.session import work_dir
 
@@ -66,49 +64,11 @@ def _segment_of(parents: np.ndarray, segments: int) -> np.ndarray:
     return ((x >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
 
 
-def _save(uri: str, arrays: dict[str, np.ndarray]) -> None:
-    """One file: a line of names, kinds and lengths, then the arrays, each at a multiple
-    of eight bytes."""
-    head = ";".join(f"{k},{v.dtype.str},{len(v)}" for k, v in arrays.items()).encode() + b"\n"
-    out = io.BytesIO()
-    out.write(head)
-    for v in arrays.values():
-        out.write(bytes(-out.tell() % 8))
-        out.write(v.tobytes())
-    write_file(uri, [out.getvalue()])
-
-
-_LOCAL: dict[str, str] = {}
-
-
-def _load(uri: str) -> dict[str, np.ndarray]:
-    """Memory-maps a file. One in a remote store is first copied to the worker's own
-    temporary folder, once."""
-    system, path = open_fs(uri)
-    if system.type_name != "local":
-        if uri not in _LOCAL:
-            target = os.path.join(tempfile.mkdtemp(), "segment")
-            with system.open_input_stream(path) as source, open(target, "wb") as out:
-                while data := source.read(8 << 20):
-                    out.write(data)
-            _LOCAL[uri] = target
-        path = _LOCAL[uri]
-    data = np.memmap(path, np.uint8, "r")
-    line = bytes(data[:65536]).split(b"\n", 1)[0]
-    at, arrays = len(line) + 1, {}
-    for name, kind, n in (x.split(",") for x in line.decode().split(";")):
-        at += -at % 8
-        size = int(n) * np.dtype(kind).itemsize
-        arrays[name] = np.asarray(data[at:at + size]).view(kind)
-        at += size
-    return arrays
-
-
 class Words:
     """Numbers and counts of words, from the files of the vocabulary in hash order."""
 
     def __init__(self, files: list[str]):
-        parts = [_load(f) for f in files]
+        parts = [load_arrays(f) for f in files]
         self.hashes, self.counts = [p["hash"] for p in parts], [p["count"] for p in parts]
         self.bases = np.concatenate(([0], np.cumsum([len(h) for h in self.hashes])))
         self.lows = np.array([h[0] for h in self.hashes], np.int64)
@@ -151,7 +111,7 @@ class Words:
 
 class Segment:
     def __init__(self, uri: str):
-        arrays = _load(uri)
+        arrays = load_arrays(uri)
         pick = lambda name: {k[len(name) + 1:]: v for k, v in arrays.items() if k.startswith(name + ".")}
         self.parents, self.pointers, self.successors = (EliasFano(pick(x)) for x in ("parents", "pointers", "successors"))
         self.codes, self.weights, self.counts = arrays["codes"], arrays["weights"], arrays["counts"]
@@ -241,7 +201,7 @@ def _vocabulary(training: DataFrame, folder: str) -> tuple[list[str], int, int]:
             return
         hashes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
         name = f"{folder}/{attempt_name('words', TaskContext.get().partitionId())}"
-        _save(name, {"hash": hashes, "count": counts})
+        save_arrays(name, {"hash": hashes, "count": counts})
         yield pa.RecordBatch.from_pydict(
             {"low": [int(hashes[0])], "file": [name], "words": [len(hashes)], "tokens": [int(counts.sum())]})
 
@@ -338,7 +298,7 @@ def _write_segments(model: Model, level: int, parent_counts: bool):
                 ("successors", rank * words + word, len(unique) * words)):
             arrays |= {f"{name}.{k}": v for k, v in encode(values, top).items()}
         name = f"{model.folder}/{attempt_name(f'level{level}', segment)}"
-        _save(name, arrays)
+        save_arrays(name, arrays)
         yield pa.RecordBatch.from_arrays(
             [pa.array([segment], pa.int32()), pa.array([name]), pa.array([len(parent)], pa.int64())],
             ["segment", "file", "entries"])

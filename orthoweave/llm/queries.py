@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orthoweave.llm import (
-    decontamination, line_dedup, mixing, ngram_model, oracles, quality_classifier, quality_rules, simhash, token_output, warc)
+    decontamination, line_dedup, mixing, ngram_model, oracles, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, warc)
 from orthoweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query("op10_token_output")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
