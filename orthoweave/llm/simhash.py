@@ -75,16 +75,26 @@ def variants(fp: Column) -> Column:
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints at most max_bits (1 to 5) apart.
 
-    Copies share a fingerprint and are one row here. Keys that occur once are dropped
-    before the join by an aggregation that combines before the shuffle.
+    Copies share a fingerprint and are one row here. A pair meets under several keys; the
+    join itself keeps it under one only: in the first segment with at most one difference,
+    under the bit that differs, or the segment's first bit if none does.
     """
     if not 0 < max_bits < 2 * (len(SEGMENTS) - 1):
         raise ValueError("three segments cover 1 to 5 bits")
     keyed = fps.select("fp", F.explode(variants(F.col("fp"))).alias("key"))
     a, b = keyed.alias("a"), keyed.alias("b")
-    near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
+    differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+    left_out = F.col("a.key").bitwiseAND(F.lit(63))
+    chosen, earlier = F.lit(False), F.lit(True)
+    for low, high in zip(SEGMENTS, SEGMENTS[1:], strict=False):
+        within = F.shiftrightunsigned(differ, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+        place = F.when(within == 0, low).otherwise(F.round(F.log2(within)).cast("int") + low)
+        one = F.bit_count(within) <= 1
+        chosen = chosen | (earlier & one & (left_out == place))
+        earlier = earlier & ~one
+    near = (F.bit_count(differ) <= max_bits) & chosen
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & near)
-    return pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+    return pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
 def components(docs: DataFrame, max_bits: int = MAX_BITS, width: int = SHINGLE) -> DataFrame:
