@@ -84,7 +84,7 @@ class Index:
         return len(self.text)
 
     def search(self, data: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(region, position, edits) of verified places in the bytes."""
+        """(region, end, edits) of verified places in the bytes; end is the first byte after."""
         grams = _grams(data)
         at = np.flatnonzero(self.filter[_slots(grams)])
         # a place has its shared q-grams within the region's length and edits
@@ -135,9 +135,9 @@ class Index:
             skipped = np.concatenate([cost[:, 1:], np.full((len(cost), 1), big)], axis=1) + 1
             cost = np.minimum(step, skipped).astype(np.int32)
             cost = np.minimum.accumulate(cost - column, axis=1) + column
-        best = cost.min(axis=1)
+        best, shift = cost.min(axis=1), cost.argmin(axis=1)
         for x in np.flatnonzero(best <= edits).tolist():
-            yield int(region[x]), max(0, int(low[x])), int(best[x])
+            yield int(region[x]), int(first[x]) + size + int(shift[x]), int(best[x])
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
@@ -154,12 +154,13 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
         yield items
 
 
-MATCH = "doc_id long, item_id long, n_regions long, edits long, first_byte long"
+MATCH = "doc_id long, item_id long, n_regions long, edits long, end_byte long"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document row and item found in it: doc_id, item_id, the number of regions
-    found, the edits of the closest, and the first place (byte of the normalised text).
+    found, the edits of the closest, and where the first one ends (byte of the normalised
+    text).
 
     Every document is searched whole against every item; a benchmark larger than
     BLOCK_BYTES is searched in blocks, each sent to the tasks with a bounded index. Null
@@ -170,7 +171,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     parts = [_search_block(narrow, items) for items in _blocks(benchmark)]
     return reduce(DataFrame.unionAll, parts or [narrow.selectExpr(
-        "doc_id", "0L AS item_id", "0L AS n_regions", "0L AS edits", "0L AS first_byte").where("false")])
+        "doc_id", "0L AS item_id", "0L AS n_regions", "0L AS edits", "0L AS end_byte").where("false")])
 
 
 def _search_block(narrow: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
@@ -183,11 +184,11 @@ def _search_block(narrow: DataFrame, items: list[tuple[int, bytes]]) -> DataFram
                 continue
             hits: dict[tuple[int, int], list[int]] = {}
             for chunk, rows, begins in _chunks(batch.column(1)):
-                for region, place, edits in index.search(chunk):
-                    at = max(0, int(np.searchsorted(begins[:, 0], place, side="right")) - 1)
+                for region, end, edits in index.search(chunk):
+                    at = int(np.searchsorted(begins[:, 0], end - 1, side="right")) - 1
                     hit = hits.setdefault((rows[at], index.item[region]), [0, edits, 1 << 62, set()])
                     hit[1] = min(hit[1], edits)
-                    hit[2] = min(hit[2], max(0, place - int(begins[at, 0])) + int(begins[at, 1]))
+                    hit[2] = min(hit[2], end - int(begins[at, 0]) + int(begins[at, 1]))
                     hit[3].add(region)
             ids = batch.column(0)
             keys = sorted(hits)

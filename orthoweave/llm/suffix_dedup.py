@@ -34,6 +34,8 @@ from orthoweave.session import work_dir
 
 LENGTH = 100
 GRAM = 32
+#: A key, a stretch of at most twice the length less a gram and ten bytes, has one-byte lengths.
+MAX_LENGTH = (255 - 10 + GRAM) // 2
 #: Bytes of text looked at in one step; positions inside a step take twenty bits.
 STEP = 1 << 20
 #: Stretches a task sorts into one run, and stretches per range of the merge.
@@ -402,8 +404,8 @@ def _known_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, text_key, first, end): byte spans covered by strings of length bytes that
     also start earlier. Spans of one document may overlap or touch."""
-    if not GRAM <= length <= 2 * LENGTH - GRAM:
-        raise ValueError("the length must be 32 to 168 bytes")
+    if not GRAM <= length <= MAX_LENGTH:
+        raise ValueError(f"the length must be {GRAM} to {MAX_LENGTH} bytes")
     documents = _documents(docs)
     files, n = _repeated_grams(documents, length)
     if not files:
