@@ -50,12 +50,13 @@ def timestamp_from_digits(text) -> Column:
 
 
 # A path whose stem is parts joined by "_": any, a 14-digit time, any, a second
-# 14-digit time, any. A trailing (n) is not part of the stem.
+# 14-digit time, any. A trailing (n) is not part of the stem. The last dot begins the
+# extension, so only a name without dots (group plain) may end without one.
 _TIME = "([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})"
 _VIDEO_PATH = (
-    r"^(?:.*/)?((?:[^_/]*_)*?)" + _TIME + r"_((?:[^_/]*_)*?)" + _TIME
-    + r"(_[^/]*?)?(?:\([0-9]+\))?(?:\.[^./]+$|(?<!\.[^/.]{0,255})$)")
-_VIDEO_FIELDS = "$15/$1$8/$2-$3-$4 $5:$6:$7/$9-$10-$11 $12:$13:$14"
+    r"^(?:.*/)?(?:(?=[^./]*$)(?<plain>)|(?=[^/]*\.))((?:[^_/]*_)*?)" + _TIME + r"_((?:[^_/]*_)*?)" + _TIME
+    + r"(_[^/]*?)?(?:\([0-9]+\))?(?:\.[^./]+$|\k<plain>$)")
+_VIDEO_FIELDS = "$16/$2$9/$3-$4-$5 $6:$7:$8/$10-$11-$12 $13:$14:$15"
 
 
 def video_fields(path) -> Column:

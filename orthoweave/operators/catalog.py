@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from orthoweave.functions import names
 from orthoweave.functions.util import as_column
+from orthoweave.operators.matching import salted_join
 
 # Shortest interval class of the interval join, and the number of classes. Each
 # class doubles the width, so 34 of them cover ten thousand years.
 BUCKET_SECONDS = 60
 BUCKET_LEVELS = 34
 
+# Grid positions that a row of a segment lists at most.
+GRID_CHUNK = 65_536
+
 
 # --- catalog -------------------------------------------------------------------------------
 
@@ -40,7 +44,8 @@ def _dated_paths(paths: DataFrame, path: str) -> DataFrame:
     start, end = names.fields_times("_f")
     return (
         paths.select(F.col(path).alias("path"), names.video_fields(path).alias("_f"))
-        .groupBy("path").agg(F.max(start).alias("start_time"), F.max(end).alias("end_time"))
+        .groupBy("path").agg(
+            F.max(start).alias("start_time"), F.max(end).alias("end_time"), F.max("_f").alias("_f"))
     )
 
 
@@ -49,7 +54,7 @@ def catalog_segments(paths: DataFrame, base: str | None = None, path: str = "pat
 
     With ``base`` the folders below it become part of the camera name.
     """
-    camera = names.fields_camera(names.video_fields("path"))
+    camera = names.fields_camera("_f")
     if base is not None:
         camera = names.qualified_camera(camera, "path", base)
     return (
@@ -153,7 +158,8 @@ def containing_segments(segments: DataFrame, targets: DataFrame) -> DataFrame:
     A segment goes into the class of widths just above its length and touches at
     most two buckets of that class; a time is put into one bucket per class. The
     candidates of a segment then stay within a small factor of its real matches,
-    however long or wrong its end time is.
+    however long or wrong its end time is. Buckets that many cameras share are split
+    by a salt; classes that no segment has are left out.
     """
     length = _micros("end_time") - _micros("start_time")
     level = F.ceil(F.log2(F.greatest(length / F.lit(BUCKET_SECONDS * 1e6), F.lit(1.0))))
@@ -167,10 +173,11 @@ def containing_segments(segments: DataFrame, targets: DataFrame) -> DataFrame:
     times = (
         targets.select("ts")
         .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(BUCKET_LEVELS - 1))))
+        .join(placed.select("_level").distinct(), "_level", "left_semi")
         .withColumn("_bucket", F.floor(_micros("ts") / _bucket_micros(F.col("_level"))))
     )
     return (
-        placed.join(times, ["_level", "_bucket"])
+        salted_join(placed, times, ["_level", "_bucket"], ["camera", "path"])
         .where(F.col("ts").between(F.col("start_time"), F.col("end_time")))
         .drop("_level", "_bucket")
     )
@@ -185,7 +192,9 @@ def match_grid(segments: DataFrame, grid: ClockGrid, extra: tuple[str, ...] = ()
     """As :func:`match_frames` for a regular grid, without a join.
 
     The grid positions inside a segment follow from its limits, so each segment
-    lists its own clock times; segments outside the grid list none.
+    lists its own clock times; segments outside the grid list none. A segment is
+    first cut into chunks of GRID_CHUNK positions, which other tasks may work on, so
+    no row holds more than a chunk of them, however long the segment claims to be.
     """
     def steps(ts: str) -> Column:
         return F.timestamp_diff("MICROSECOND", grid.start_column(), F.col(ts)) / F.lit(
@@ -196,9 +205,14 @@ def match_grid(segments: DataFrame, grid: ClockGrid, extra: tuple[str, ...] = ()
     hits = (
         segments.withColumn("_first", first).withColumn("_last", last)
         .where("_first <= _last")
-        .withColumn("_k", F.explode(F.sequence("_first", "_last")))
+        .withColumn("_chunk", F.explode(F.sequence(
+            F.floor(F.col("_first") / GRID_CHUNK), F.floor(F.col("_last") / GRID_CHUNK))))
+        .repartition("path", "_chunk")
+        .withColumn("_k", F.explode(F.sequence(
+            F.greatest("_first", F.col("_chunk") * GRID_CHUNK),
+            F.least("_last", F.col("_chunk") * GRID_CHUNK + (GRID_CHUNK - 1)))))
         .withColumn("ts", grid.time_at("_k"))
-        .drop("_first", "_last", "_k")
+        .drop("_first", "_last", "_k", "_chunk")
     )
     return first_segment(hits, extra)
 

@@ -11,13 +11,6 @@ from orthoweave.functions.util import as_column
 # Copies of the small side of a join whose key may be dominated by one camera.
 SALTS = 16
 
-# Image metadata rows, about 100 bytes each, that every executor may hold.
-METADATA_ROWS = 2_000_000
-
-# Beginnings of identifiers that are compared before whole identifiers.
-HEAD_LENGTH = 4
-MAX_HEADS = 200
-
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list[str],
                 how: str = "inner", salts: int = SALTS) -> DataFrame:
@@ -32,33 +25,28 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list
 
 
 def with_metadata(data: DataFrame, metadata: DataFrame, on: list[str]) -> DataFrame:
-    """Pixels or tiles joined with rows about their image.
-
-    Up to METADATA_ROWS rows of counted metadata are broadcast, so the pixels do
-    not move for this join; beyond that it is an ordinary shuffle join.
-    """
-    small = metadata.select(*on).count() <= METADATA_ROWS
-    return data.join(F.broadcast(metadata) if small else metadata, on)
+    """Pixels or tiles joined with rows about their image; Spark broadcasts the metadata
+    if its bytes are within its own limit."""
+    return data.join(metadata, on)
 
 
 def contains_join(texts: DataFrame, text: str, ids: DataFrame, id_column: str) -> DataFrame:
     """All pairs where ``text`` contains the identifier, planned as an equi-join.
 
     Every piece of the text that is as long as some identifier is looked up; a
-    pair is taken at its first position only. Positions where no identifier can
-    begin are dropped first, as long as the identifiers begin in few ways.
+    pair is taken at its first position only. Positions where no identifier begins
+    are dropped first, by a semi join with the beginnings of all identifiers.
     """
     shapes = ids.where(F.length(id_column) > 0).select(F.length(id_column).alias("n"))
     lengths = sorted(row.n for row in shapes.distinct().collect())  # a handful of integers
     if not lengths:
         return texts.where("false").join(ids, F.col(text) == F.col(id_column))
-    head = min(lengths[0], HEAD_LENGTH)
-    heads = ids.select(F.substring(id_column, 1, head)).distinct().limit(MAX_HEADS + 1).collect()
+    heads = ids.where(F.length(id_column) > 0).select(
+        F.substring(id_column, 1, lengths[0]).alias("_head")).distinct()
     placed = texts.where(F.length(text) >= lengths[0]).withColumn(
         "_at", F.explode(F.sequence(F.lit(1), F.length(text) - (lengths[0] - 1))))
-    if len(heads) <= MAX_HEADS:
-        beginning = F.substr(F.col(text), F.col("_at"), F.lit(head))
-        placed = placed.where(beginning.isin([row[0] for row in heads]))
+    beginning = F.substr(F.col(text), F.col("_at"), F.lit(lengths[0]))
+    placed = placed.withColumn("_head", beginning).join(heads, "_head", "left_semi").drop("_head")
     pieces = (
         placed.withColumn("_width", F.explode(F.array(*[F.lit(n) for n in lengths])))
         .where(F.length(text) >= F.col("_at") + F.col("_width") - 1)

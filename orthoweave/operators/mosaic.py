@@ -17,10 +17,9 @@ from orthoweave.operators.matching import with_metadata
 METHODS = ("center", "order")
 
 # A priority up to 1 is a multiple of 2**-53, so this factor makes it an integer
-# without loss. With the position of one of the first EARLY images it fits into a
-# BIGINT; the tie range of later ones is wider than any number of images.
+# without loss. The range of ties is wider than any number of images, and both fit
+# into a DECIMAL that hash aggregation keeps in place.
 PRIORITY_SCALE = float(2**53)
-EARLY = 1024  # 10 bits
 TIE_RANGE = 2**32
 
 
@@ -151,17 +150,8 @@ def _best_payload(method: str, payload: Column) -> tuple[Column, dict[str, Colum
     priority = geometry.centre_priority(
         "region_row", "region_col", "region_height", "region_width")
     scaled = (priority * PRIORITY_SCALE).cast("bigint")
-    early = position <= EARLY
-    early_rank = F.when(early, (scaled - 1) * EARLY + (EARLY - position))
-    late_rank = F.when(~early, scaled.cast("decimal(20,0)") * F.lit(TIE_RANGE) - position)
-    aggregates = {
-        "_a": F.max_by(payload, early_rank), "_a_rank": F.max(early_rank),
-        "_b": F.max_by(payload, late_rank), "_b_scaled": F.max(F.when(~early, scaled)),
-    }
-    early_scaled = F.shiftright("_a_rank", 10) + 1
-    late_wins = F.col("_b").isNotNull() & (
-        F.col("_a").isNull() | (F.col("_b_scaled") > early_scaled))
-    return priority > 0, aggregates, F.when(late_wins, F.col("_b")).otherwise(F.col("_a"))
+    rank = scaled.cast("decimal(20,0)") * F.lit(TIE_RANGE) - position
+    return priority > 0, {"_a": F.max_by(payload, rank)}, F.col("_a")
 
 
 def priority_argmax(placed: DataFrame, method: str = "center") -> DataFrame:
@@ -169,8 +159,7 @@ def priority_argmax(placed: DataFrame, method: str = "center") -> DataFrame:
 
     ``center``: highest priority above 0, ties to the first file. ``order``: the
     last file. Ranks and payload are single numbers, so this stays a hash
-    aggregation with a map-side combine. The first EARLY images of a ts are
-    ranked by one BIGINT, which is twice as fast as the general rank of the rest.
+    aggregation with a map-side combine.
     """
     payload = F.col("position").cast("bigint") * 16777216 + pixels.pack_bgr()
     candidate, aggregates, chosen = _best_payload(method, payload)

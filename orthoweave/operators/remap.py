@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from orthoweave.functions import geometry
 from orthoweave.operators import dem as dem_ops
+from orthoweave.operators.matching import salted_join
 
 # Source positions are rounded to 1/32 pixel, so the four weights
 # are integers that add up to 1024.
 SUBPIXEL = 32
 WEIGHT_SUM = SUBPIXEL * SUBPIXEL
-MAX_COORDINATE = 32767.0
 
 MODEL_COLUMNS = ("K", "D", "rvec", "tvec")
 
@@ -100,21 +100,34 @@ def map_range(ortho_map: DataFrame) -> DataFrame:
     )
 
 
-def _subpixel(position: str) -> Column:
-    """Position in 1/32 pixels; far outside the image when it is unusable."""
+def _subpixel(position: str, size: str) -> Column:
+    """Position in 1/32 pixels; outside the image when no pixel of it can be reached."""
     c = F.col(position).cast("double")
-    usable = (c >= -MAX_COORDINATE) & (c <= MAX_COORDINATE)
+    usable = (c > -1) & (c < F.col(size))  # also false for NaN and NULL
     return F.when(usable, F.rint(c * SUBPIXEL)).otherwise(F.lit(-4.0 * SUBPIXEL)).cast("bigint")
 
 
 def bilinear_taps(ortho_map: DataFrame) -> DataFrame:
     """Source pixels and integer weights of each output pixel.
 
-    A tap outside the image has no weight. One tap per output pixel is always
-    kept so that pixels outside the image stay in the result as black; such an
-    empty tap points at an arbitrary source pixel, spread over the image.
+    A tap outside the image has no weight and is left out; output pixels that see
+    nothing have no tap at all, see :func:`blind_pixels`.
     """
-    base = ortho_map.withColumns({"_sx": _subpixel("src_x"), "_sy": _subpixel("src_y")}).withColumns({
+    return _with_taps(ortho_map).select("camera", "row", "col", F.explode("_taps").alias("t")).select(
+        "camera", F.col("row").alias("out_row"), F.col("col").alias("out_col"),
+        "t.src_row", "t.src_col", "t.weight")
+
+
+def blind_pixels(ortho_map: DataFrame) -> DataFrame:
+    """Output pixels (camera, out_row, out_col) that lie outside their image."""
+    return _with_taps(ortho_map).where(F.size("_taps") == 0).select(
+        "camera", F.col("row").alias("out_row"), F.col("col").alias("out_col"))
+
+
+def _with_taps(ortho_map: DataFrame) -> DataFrame:
+    base = ortho_map.withColumns({
+        "_sx": _subpixel("src_x", "image_width"), "_sy": _subpixel("src_y", "image_height"),
+    }).withColumns({
         "_ix": F.shiftright("_sx", 5), "_fx": F.pmod("_sx", F.lit(SUBPIXEL)),
         "_iy": F.shiftright("_sy", 5), "_fy": F.pmod("_sy", F.lit(SUBPIXEL)),
     })
@@ -126,26 +139,24 @@ def bilinear_taps(ortho_map: DataFrame) -> DataFrame:
         inside = ((row >= 0) & (row < F.col("image_height"))
                   & (col >= 0) & (col < F.col("image_width")))
         return F.struct(
-            F.when(inside, row).otherwise(F.pmod("row", "image_height")).cast("int").alias("src_row"),
-            F.when(inside, col).otherwise(F.pmod("col", "image_width")).cast("int").alias("src_col"),
-            F.when(inside, wy * wx).otherwise(F.lit(0)).cast("int").alias("weight"),
-            F.lit(dy == 0 and dx == 0).alias("first"),
-        )
+            row.cast("int").alias("src_row"), col.cast("int").alias("src_col"),
+            F.when(inside, wy * wx).otherwise(F.lit(0)).cast("int").alias("weight"))
 
     taps = F.filter(
-        F.array(*[tap(dy, dx) for dy in (0, 1) for dx in (0, 1)]),
-        lambda t: (t["weight"] > 0) | t["first"])
-    return base.select("camera", "row", "col", F.explode(taps).alias("t")).select(
-        "camera", F.col("row").alias("out_row"), F.col("col").alias("out_col"),
-        "t.src_row", "t.src_col", "t.weight")
+        F.array(*[tap(dy, dx) for dy in (0, 1) for dx in (0, 1)]), lambda t: t["weight"] > 0)
+    return base.withColumn("_taps", taps)
 
 
-def remap_bilinear(pixel_rows: DataFrame, ortho_map: DataFrame) -> DataFrame:
+def remap_bilinear(pixel_rows: DataFrame, ortho_map: DataFrame,
+                   images: DataFrame | None = None) -> DataFrame:
     """Output pixels (ts, camera, row, col, b, g, r) gathered from frame pixels.
 
     The join key is the source pixel, so the work of one busy camera is spread
-    over all of its pixels.
+    over all of its pixels. Output pixels that see nothing are black in every
+    image; they come from the map and the images (ts, camera), whatever the frame
+    holds. Without ``images`` these are found from the pixels.
     """
+    images = (pixel_rows if images is None else images).select("ts", "camera").distinct()
     source = pixel_rows.select(
         "ts", "camera", F.col("row").alias("src_row"), F.col("col").alias("src_col"), "b", "g", "r")
 
@@ -153,9 +164,11 @@ def remap_bilinear(pixel_rows: DataFrame, ortho_map: DataFrame) -> DataFrame:
         total = F.sum(F.col("weight").cast("bigint") * F.col(name))
         return F.shiftright(total + WEIGHT_SUM // 2, 10).cast("int").alias(name)
 
-    return (
+    gathered = (
         source.join(bilinear_taps(ortho_map), ["camera", "src_row", "src_col"])
         .groupBy("ts", "camera", "out_row", "out_col")
         .agg(channel("b"), channel("g"), channel("r"))
-        .withColumnsRenamed({"out_row": "row", "out_col": "col"})
     )
+    black = salted_join(blind_pixels(ortho_map), images, ["camera"], ["out_row", "out_col"]).select(
+        "ts", "camera", "out_row", "out_col", *[F.lit(0).alias(band) for band in "bgr"])
+    return gathered.unionByName(black).withColumnsRenamed({"out_row": "row", "out_col": "col"})

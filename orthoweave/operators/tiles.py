@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from orthoweave.operators import mosaic
 from orthoweave.operators.matching import salted_join, with_metadata
-from orthoweave.operators.remap import MAX_COORDINATE, SUBPIXEL, WEIGHT_SUM
+from orthoweave.operators.remap import SUBPIXEL, WEIGHT_SUM
 
 TILE = 256
 
@@ -132,9 +132,9 @@ def map_tiles(ortho_map: DataFrame, size: int = TILE) -> DataFrame:
 # --- gather --------------------------------------------------------------------------------
 
 def _subpixels(tile: dict, name: str) -> np.ndarray:
-    """Source positions in 1/32 pixels, far outside where unusable."""
+    """Source positions in 1/32 pixels, outside where no pixel of the image is reached."""
     at = np.frombuffer(tile[name], np.float32).reshape(tile["height"], tile["width"]).astype(np.float64)
-    usable = np.abs(at) <= MAX_COORDINATE  # False for NaN
+    usable = (at > -1) & (at < tile["image_width" if name == "src_x" else "image_height"])
     return np.where(usable, np.rint(np.where(usable, at, 0) * SUBPIXEL), -4 * SUBPIXEL).astype(np.int64)
 
 
@@ -155,10 +155,9 @@ def tile_deps(lookup: DataFrame, size: int = TILE) -> DataFrame:
                         ok = ((r >= 0) & (r < tile["image_height"])
                               & (c >= 0) & (c < tile["image_width"]))
                         seen |= set(zip((r[ok] // size).tolist(), (c[ok] // size).tolist()))
-                # a tile that sees nothing still reads one tile, so its black block is written
                 rows = [{"camera": tile["camera"], "tile_row": tile["tile_row"],
                          "tile_col": tile["tile_col"], "src_tile_row": r, "src_tile_col": c}
-                        for r, c in sorted(seen) or [(0, 0)]]
+                        for r, c in sorted(seen)]
                 yield from _table(arrow, rows).to_batches()
 
     return lookup.mapInArrow(deps, schema)
@@ -182,21 +181,27 @@ def _gather(lookup: dict, sources: list[dict], size: int) -> np.ndarray:
 
 
 def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | None = None,
-                size: int = TILE) -> DataFrame:
+                size: int = TILE, images: DataFrame | None = None) -> DataFrame:
     """Ortho tiles gathered from frame tiles.
 
     Frame tiles go to the output tiles that read them. A group then is one output
-    tile of about ``TS_PER_BLOCK`` timestamps, so the lookup tile travels once for
-    all of them; the block number also splits a camera with very many frames.
+    tile of about ``TS_PER_BLOCK`` timestamps of one camera, so the lookup tile
+    travels once for all of them; the block number also splits a camera with very
+    many frames. Every output tile of every image (ts, camera) is written, black
+    where it sees nothing or the frame lacks the tiles it reads. Without
+    ``images`` these are found from the tiles.
     """
     deps = tile_deps(lookup, size) if deps is None else deps
-    most = frame_tiles.groupBy("ts", "camera").agg(F.lit(1).alias("n")).groupBy("camera").count()
-    blocks = max(1, -(-(most.agg(F.max("count")).first()[0] or 1) // TS_PER_BLOCK))
+    images = (frame_tiles if images is None else images).select("ts", "camera").distinct()
+    counts = images.groupBy("camera").agg(F.ceil(F.count("*") / F.lit(TS_PER_BLOCK)).cast("int").alias("_n"))
+    blocked = images.join(counts, "camera").select(
+        "ts", "camera", F.pmod(F.xxhash64("ts"), F.col("_n")).cast("int").alias("block"))
+    times = blocked.groupBy("camera", "block").agg(F.collect_list("ts").alias("times"))
     schema = _struct(*_BLOCK, ("data", _BIN), keys=_key_types(frame_tiles, "ts", "camera"))
     arrow = _arrow(schema)
 
     def gather(sources: pa.Table, lookups: pa.Table) -> pa.Table:
-        if lookups.num_rows == 0 or sources.num_rows == 0:
+        if lookups.num_rows == 0:
             return arrow.empty_table()
         tile = lookups.to_pylist()[0]
         by_ts: dict = {}
@@ -205,15 +210,15 @@ def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | Non
         return _table(arrow, [{
             "ts": ts, "camera": tile["camera"], "tile_row": tile["tile_row"],
             "tile_col": tile["tile_col"], "height": tile["height"], "width": tile["width"],
-            "data": _gather(tile, found, size).tobytes()} for ts, found in by_ts.items()])
+            "data": _gather(tile, by_ts.get(ts, []), size).tobytes()} for ts in tile["times"]])
 
-    block = F.pmod(F.xxhash64("ts"), F.lit(blocks)).cast("int")
     sources = salted_join(
-        frame_tiles.withColumnsRenamed({"tile_row": "src_tile_row", "tile_col": "src_tile_col"}),
-        deps, ["camera", "src_tile_row", "src_tile_col"], ["ts"],
-    ).withColumn("block", block)
+        with_metadata(frame_tiles, blocked, ["ts", "camera"]).withColumnsRenamed(
+            {"tile_row": "src_tile_row", "tile_col": "src_tile_col"}),
+        deps, ["camera", "src_tile_row", "src_tile_col"], ["ts"])
     keys = ["camera", "tile_row", "tile_col", "block"]
-    repeated = lookup.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a column of its own: both sides of the cogroup come from the same image list
+    repeated = lookup.join(times.withColumn("block", F.col("block") + 0), "camera")
     return sources.groupBy(*keys).cogroup(repeated.groupBy(*keys)).applyInArrow(gather, schema)
 
 

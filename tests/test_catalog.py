@@ -110,3 +110,12 @@ def test_listing_is_distinct(spark):
     paths = spark.createDataFrame([("a.dav",), ("a.dav",), ("b.TXT",), ("c.Mp4",)], "path string")
     assert [r.path for r in catalog.video_files(paths).collect()] == ["a.dav"]
     assert catalog.unparsed_videos(paths).where(F.col("path") == "a.dav").count() == 1
+
+
+def test_a_segment_of_a_thousand_years(spark):
+    """Only the positions of the grid count, in chunks of bounded size."""
+    segments = spark.createDataFrame(
+        [("a", "/x", "1500-01-01 00:00:00", "2500-01-01 00:00:00")], "camera string, path string, s string, e string"
+    ).selectExpr("camera", "path", "cast(s as timestamp_ntz) start_time", "cast(e as timestamp_ntz) end_time")
+    grid = catalog.ClockGrid("2024-01-01 00:00:00", 1_000_000, 300_000)
+    assert catalog.match_grid(segments, grid).count() == 300_000

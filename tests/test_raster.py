@@ -263,3 +263,24 @@ def test_dem_sampling(spark):
     assert at(dem_ops.dem_bilinear(grid, dem, transform, fill=-1.0))[(0, 7)] == -1.0
     nearest = at(dem_ops.dem_nearest(grid, dem, transform, fill=None))
     assert nearest[(0, 3)] == 10.0 and nearest[(3, 4)] == 50.0 and nearest[(2, 2)] is None
+
+
+def test_far_source_pixels_and_missing_sources(spark):
+    """A wide image is read beyond any fixed limit, and blind outputs need no source."""
+    px = spark.createDataFrame(
+        [(1, "c", 0, 35000, 9, 8, 7), (1, "c", 0, 35001, 1, 1, 1)],
+        "ts long, camera string, row int, col int, b int, g int, r int")
+    table = spark.createDataFrame(
+        [("c", 0, 0, 35000.0, 0.0, 40000, 1), ("c", 0, 1, float("nan"), 0.0, 40000, 1),
+         ("c", 0, 2, -5.0, 0.0, 40000, 1), ("c", 0, 3, 1e30, 0.0, 40000, 1), ("c", 0, 4, None, 0.0, 40000, 1)],
+        "camera string, row int, col int, src_x float, src_y float, image_width int, image_height int")
+    want = [(0, 9, 8, 7), *[(c, 0, 0, 0) for c in (1, 2, 3, 4)]]
+    rows = remap.remap_bilinear(px, table).orderBy("col").collect()
+    assert [(r.col, r.b, r.g, r.r) for r in rows] == want
+    # the frame lacks the first source tile, which a black output tile must not need
+    size = 4
+    late = px.withColumn("col", px["col"] - 34990)
+    small = table.withColumn("src_x", table["src_x"] - 34990).withColumn("row", table["row"] + 8)
+    made = tiles.to_pixels(tiles.remap_tiles(tiles.to_tiles(late, size), tiles.map_tiles(small, size), size=size), size)
+    found = {(r.row, r.col): (r.b, r.g, r.r) for r in made.collect()}
+    assert found[8, 0] == (9, 8, 7) and all(found[8, c] == (0, 0, 0) for c in (1, 2, 3, 4))
