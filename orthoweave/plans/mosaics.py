@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from orthoweave.operators import mosaic, seam
+from orthoweave.operators import mosaic, seam, tiles
 
 METHODS = (*mosaic.METHODS, "seam")
 
 
 def build_mosaics(pixel_rows: DataFrame, images: DataFrame, method: str = "seam",
                   seam_quality: str = "gradient", resolution: float | None = None,
-                  strict: bool = True) -> DataFrame:
-    """Mosaic pixels (ts, mosaic_row, mosaic_col, b, g, r, camera)."""
+                  strict: bool = True, size: int = tiles.TILE) -> DataFrame:
+    """Mosaic pixels (ts, mosaic_row, mosaic_col, b, g, r, camera); from ortho tiles mosaic
+    tiles (ts, tile_row, tile_col, height, width, data, positions).
+
+    Seams are cut on pixel rows; tiles are unpacked for them.
+    """
+    in_tiles = "tile_row" in pixel_rows.columns
+    if in_tiles and method in mosaic.METHODS:
+        return tiles.mosaic_tiles(pixel_rows, images, method, resolution, strict, size)
+    if in_tiles:
+        pixel_rows = tiles.to_pixels(pixel_rows, size)
     if method in mosaic.METHODS:
         return mosaic.mosaic_priority(pixel_rows, images, method, resolution, strict)
     if method == "seam":

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orthoweave.operators import catalog, mosaic, remap, status
+from orthoweave.functions import names
+from orthoweave.operators import catalog, matching, mosaic, status, tiles
 from orthoweave.plans import frames as frame_plans
 from orthoweave.plans import mosaics, orthos
 from orthoweave.sources import tables
@@ -17,7 +18,13 @@ STAGES = ("extract", "ortho", "mosaic")
 
 @dataclass(frozen=True)
 class RunInputs:
-    """What a run starts from; decoded frames enter as pixel rows."""
+    """What a run starts from.
+
+    Decoded frames enter as tiles or pixel rows (ts, camera, ...), with their list
+    ``images`` (ts, camera) if it is known; ``cameras`` are the calibrated cameras
+    (camera, cal_order), by default those of the lookup map by name. A frame belongs
+    to the first of them that its camera name contains.
+    """
 
     paths: DataFrame
     grid: catalog.ClockGrid
@@ -26,6 +33,8 @@ class RunInputs:
     grids: DataFrame
     base: str | None = None
     fps: Column | None = None
+    images: DataFrame | None = None
+    cameras: DataFrame | None = None
 
 
 def _status(stage: str, wanted: DataFrame, done: DataFrame, keys: list[str], error: str) -> DataFrame:
@@ -38,41 +47,63 @@ def _status(stage: str, wanted: DataFrame, done: DataFrame, keys: list[str], err
 
 
 def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str, ...] = STAGES,
-        method: str = "center") -> DataFrame:
+        method: str = "center", seam_quality: str = "gradient", resolution: float | None = None,
+        size: int = tiles.TILE) -> DataFrame:
     """Runs the stages in order and returns the status rows (stage, ts, camera, success, error).
 
     Each stage reads the table of the one before, so a later run may start at any
-    stage. Without a single extracted frame the later stages do not run.
+    stage. Each stage keeps the list of its images beside its rasters, so status rows
+    and later stages read no pixels for it. A run works on the times of its grid only;
+    runs over other times add to the tables.
+    Without a single extracted frame the later stages do not run.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
+    grid = inputs.grid
+    first, last = grid.time_at(F.lit(0)), grid.time_at(F.lit(grid.count - 1))
+
+    def stored(name: str) -> DataFrame:
+        return tables.read_stage(spark, f"{folder}/{name}").where(F.col("ts").between(first, last))
+
+    def keep(found: DataFrame, name: str) -> DataFrame:
+        tables.write_list(found, f"{folder}/{name}")
+        return stored(name)
+
     rows = []
     if "extract" in stages:
         requests = frame_plans.plan_frames(inputs.paths, inputs.grid, inputs.base, inputs.fps)
-        requests.write.mode("overwrite").parquet(f"{folder}/requests")
-        requests = tables.read_stage(spark, f"{folder}/requests")
-        extracted = inputs.frames.join(requests.select("ts", "camera"), ["ts", "camera"], "left_semi")
-        tables.write_frames(extracted, f"{folder}/frames")
-        done = tables.read_stage(spark, f"{folder}/frames") if not extracted.isEmpty() else None
-        kept = extracted if done is None else done
-        rows.append(_status("extract", requests.select("ts", "camera"), kept,
-                            ["ts", "camera"], "no frame"))
-        if done is None:
+        requests = keep(requests, "requests")
+        known = inputs.frames if inputs.images is None else inputs.images
+        listed = known.select("ts", "camera").distinct().join(
+            requests.select("ts", "camera"), ["ts", "camera"], "left_semi")
+        listed = keep(listed, "frames_list")
+        rows.append(_status("extract", requests.select("ts", "camera"), listed, ["ts", "camera"], "no frame"))
+        if listed.isEmpty():
             return _all(rows)
+        tables.write_frames(inputs.frames.join(listed.select("ts", "camera"), ["ts", "camera"], "left_semi"),
+                            f"{folder}/frames")
     if "ortho" in stages:
-        frames = tables.read_stage(spark, f"{folder}/frames")
-        tables.write_orthos(
-            remap.remap_bilinear(frames, inputs.ortho_map), inputs.grids, f"{folder}/orthos")
-        done = tables.read_stage(spark, f"{folder}/orthos/pixels")
-        rows.append(_status("ortho", frames.select("ts", "camera").distinct(), done,
-                            ["ts", "camera"], "no matching calibration"))
+        frames, listed = stored("frames"), stored("frames_list").select("ts", "camera")
+        cameras = inputs.cameras
+        if cameras is None:
+            cameras = inputs.ortho_map.select("camera").distinct().withColumn("cal_order", F.col("camera"))
+        found = matching.match_calibration(listed.select(F.col("camera").alias("path")), cameras).select(
+            F.col("path").alias("camera"), F.col("camera").alias("_calibrated"))
+        named = matching.with_metadata(frames, found, ["camera"]).drop("camera").withColumnRenamed(
+            "_calibrated", "camera")
+        matched = listed.join(found, "camera")
+        done = keep(matched.select("ts", "camera", F.col("_calibrated").alias("calibrated")), "orthos_list")
+        images = done.select("ts", F.col("calibrated").alias("camera")).distinct()
+        tables.write_orthos(orthos.gather(named, inputs.ortho_map, images, size), inputs.grids, f"{folder}/orthos")
+        rows.append(_status("ortho", listed, done, ["ts", "camera"], "no matching calibration"))
     if "mosaic" in stages:
-        pixel_rows = tables.read_stage(spark, f"{folder}/orthos/pixels")
-        images = orthos.ortho_images(pixel_rows, tables.read_stage(spark, f"{folder}/orthos/geo"))
-        built = mosaics.build_mosaics(pixel_rows, images, method)
-        tables.write_mosaics(built, mosaic.mosaic_geo(images), f"{folder}/mosaics")
-        done = tables.read_stage(spark, f"{folder}/mosaics/pixels")
+        rasters = stored("orthos/pixels")
+        listed = stored("orthos_list").select("ts", F.col("calibrated").alias("camera")).distinct()
+        images = orthos.ortho_images(listed, tables.read_stage(spark, f"{folder}/orthos/geo"))
+        built = mosaics.build_mosaics(rasters, images, method, seam_quality, resolution, size=size)
+        tables.write_mosaics(built, mosaic.mosaic_geo(images, resolution), f"{folder}/mosaics")
+        done = stored("mosaics/geo")
         rows.append(_status("mosaic", images.select("ts").distinct(), done, ["ts"], "no mosaic"))
     return _all(rows)
 

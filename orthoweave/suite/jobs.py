@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from orthoweave.functions import names
@@ -15,6 +17,9 @@ from orthoweave.suite.oracle_views import VIEWS, undistorted, with_views
 from orthoweave.suite.raster import _best
 from orthoweave.suite.registry import query
 
+# Small tiles, so that the small images of the suite are cut into several.
+SUITE_TILE = 4
+
 # --- status --------------------------------------------------------------------------------
 
 
@@ -72,6 +77,29 @@ def world_files(spark, sf_dir):
     return files.parse_world_text(tables.read_world_texts(spark, folder))
 
 
+@query("SRC3_scan_world_files", with_views("mgrid", """
+    select 'mosaic_'||cast(ts as varchar) as name, res pixel_width, 0::double rotation_x, 0::double rotation_y,
+           -res pixel_height, x_min, y_max from mgrid"""))
+def scanned_world_files(spark, sf_dir):
+    """The same files found and read by the folder reader."""
+    folder = work_dir(spark, "world")
+    tables.write_world_files(_geo(spark, sf_dir), folder)
+    found = files.scan_world_files(spark, folder, "*.txt")
+    return found.withColumn("name", F.regexp_extract("path", "name=([^/]+)/", 1)).drop("path", "stem")
+
+
+@query("SRC2_image_tiles", with_views("px", """
+    select cast(ts as varchar)||'/'||cast(camera as varchar)||'.tif' path, row, col, b, g, r from px"""))
+def image_tiles(spark, sf_dir):
+    """All images as binary rows cut to tiles, without pixel rows in between."""
+    blocks = tiles.to_tiles(views.pixels(spark, sf_dir), views.SIDE)
+    cut = files.image_tiles(blocks.select(
+        F.concat(F.col("ts").cast("string"), F.lit("/"), F.col("camera").cast("string"), F.lit(".tif")).alias("path"),
+        "height", "width", F.lit(3).alias("n_channels"), "data"), SUITE_TILE)
+    named = cut.withColumnsRenamed({"path": "camera"})
+    return tiles.to_pixels(named, SUITE_TILE).withColumnRenamed("camera", "path")
+
+
 @query("SRC2_image_pixels", with_views("px", """
     select cast(ts as varchar)||'/'||cast(camera as varchar)||'.tif' path, row, col, b, g, r from px"""))
 def image_pixels(spark, sf_dir):
@@ -154,10 +182,36 @@ def write_orthos(spark, sf_dir):
     """All orthos written with their geotransforms and read back."""
     folder = work_dir(spark, "orthos")
     built = remap.remap_bilinear(views.pixels(spark, sf_dir), views.lookup_map(spark, sf_dir))
-    tables.write_orthos(_timed(built), views.images(spark, sf_dir), folder)
+    tables.write_orthos(_timed(built), _timed(views.images(spark, sf_dir)), folder)
     return tables.read_stage(spark, f"{folder}/pixels").drop("ts")
 
 
+@query("SNK2_ortho_geo", with_views("images", """
+    select ts, camera, file, width, height, x_min, y_max, pixel_width, pixel_height from images"""))
+def ortho_geo(spark, sf_dir):
+    """The geotransforms of all orthos, written beside them and read back."""
+    folder = work_dir(spark, "orthos")
+    images = views.images(spark, sf_dir)
+    tables.write_orthos(_timed(views.pixels(spark, sf_dir)), _timed(images), folder)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    geo = tables.read_stage(spark, f"{folder}/geo").withColumn("ts", F.timestamp_diff("HOUR", start, F.col("ts")))
+    return geo.select("ts", "camera", "file", "width", "height", "x_min", "y_max", "pixel_width", "pixel_height")
+
+
+@query("SNK3_mosaic_geo", with_views("mgrid", """
+    select ts, res pixel_width, 0::double rotation_x, 0::double rotation_y, -res pixel_height, x_min, y_max
+    from mgrid"""))
+def stored_mosaic_geo(spark, sf_dir):
+    """The geotransforms of all mosaics, written beside them and read back."""
+    folder = work_dir(spark, "mosaics")
+    images = views.images(spark, sf_dir)
+    built = mosaics.build_mosaics(views.pixels(spark, sf_dir), images, "order").withColumn(
+        "ts_folder", F.format_string("t%06d", "ts"))
+    geo = mosaic.mosaic_geo(images).withColumn("ts_folder", F.format_string("t%06d", "ts"))
+    tables.write_mosaics(built, geo, folder)
+    return tables.read_stage(spark, f"{folder}/geo").drop("ts_folder", "width", "height")
+
+
 _MOSAIC_SQL = _best("priority desc, pos", "priority>0").replace(
     'cast(pos as int) as position', 'camera')
 
@@ -169,32 +223,57 @@ def write_mosaics(spark, sf_dir):
     images = views.images(spark, sf_dir)
     built = mosaics.build_mosaics(views.pixels(spark, sf_dir), images, "center").withColumn(
         "ts_folder", F.format_string("t%06d", "ts"))
-    tables.write_mosaics(built, mosaic.mosaic_geo(images), folder)
+    geo = mosaic.mosaic_geo(images).withColumn("ts_folder", F.format_string("t%06d", "ts"))
+    tables.write_mosaics(built, geo, folder)
     return tables.read_stage(spark, f"{folder}/pixels").drop("ts_folder")
 
 
 # --- jobs ----------------------------------------------------------------------------------
 
-@query("C5_orthorectify", with_views("orthopx", """
-    select ts, camera, row, col, b, g, r from orthopx where camera<12"""))
-def orthorectify(spark, sf_dir):
-    """Frames are matched to their camera by name; cameras 12 and up have no calibration."""
+_CALIBRATED = "camera in (select camera from latest where n_gcps>=12)"
+
+
+def _calibrated(spark, sf_dir):
+    """Cameras whose last calibration has enough control points for use."""
+    return views.latest_calibrations(spark, sf_dir).where("n_gcps >= 12").select("camera")
+
+
+def _orthorectified(spark, sf_dir, frames, lookup):
+    """Frames are matched to their camera by name; cameras without a usable calibration
+    have no ortho."""
     code = F.concat(F.lit("cam"), F.lpad(F.col("camera").cast("string"), 2, "0"))
     path = F.concat(F.lit("/frames/"), F.col("ts").cast("string"), F.lit("/"), code, F.lit(".tiff"))
-    frames = views.pixels(spark, sf_dir).withColumn("path", path).drop("camera")
     listed = views.images(spark, sf_dir).select("ts", path.alias("path"))
-    lookup = views.lookup_map(spark, sf_dir).withColumn("camera", code)
-    cameras = lookup.select("camera").distinct().where("camera < 'cam12'").withColumn(
-        "cal_order", F.substring("camera", 4, 2).cast("int"))
-    built, _ = orthos.orthorectify(frames, listed, cameras, lookup)
+    cameras = _calibrated(spark, sf_dir).select(code.alias("camera"), F.col("camera").alias("cal_order"))
+    built, _ = orthos.orthorectify(frames.withColumn("path", path).drop("camera"), listed, cameras,
+                                   lookup.withColumn("camera", code), SUITE_TILE)
     return built.withColumn("camera", F.substring("camera", 4, 2).cast("int"))
 
 
+@query("C5_orthorectify", with_views("orthopx latest", f"""
+    select ts, camera, row, col, b, g, r from orthopx where {_CALIBRATED}"""))
+def orthorectify(spark, sf_dir):
+    return _orthorectified(spark, sf_dir, views.pixels(spark, sf_dir), views.lookup_map(spark, sf_dir))
+
+
+@query("C5_orthorectify_tiles", with_views("orthopx latest", f"""
+    select ts, camera, row, col, b, g, r from orthopx where {_CALIBRATED}"""))
+def orthorectify_tiles(spark, sf_dir):
+    """The job on tiles."""
+    frames = tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
+    return _mapped_only(spark, sf_dir, _orthorectified(spark, sf_dir, frames, views.lookup_map(spark, sf_dir)))
+
+
 @query("C6_mosaic_center", _MOSAIC_SQL)
 def mosaic_center(spark, sf_dir):
     return mosaics.build_mosaics(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "center")
 
 
+@query("C6_mosaic_order", _best("pos desc", "true").replace('cast(pos as int) as position', 'camera'))
+def mosaic_order(spark, sf_dir):
+    return mosaics.build_mosaics(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "order")
+
+
 _UNDISTORTED = {
     **undistorted("select * from latest"),
     "utaps": VIEWS["taps"].replace("lmap", "umap"),
@@ -210,56 +289,84 @@ def undistort_frames(spark, sf_dir):
         views.pixels(spark, sf_dir), views.latest_calibrations(spark, sf_dir, small=True))
 
 
+@query("C9_undistort_frames_tiles", with_views("px images latest", """
+    select ts, camera, row, col, b, g, r from upx""", _UNDISTORTED))
+def undistort_frames_tiles(spark, sf_dir):
+    """All frames without lens distortion, on tiles."""
+    built = orthos.undistort_frames(
+        tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE),
+        views.latest_calibrations(spark, sf_dir, small=True), size=SUITE_TILE)
+    return tiles.to_pixels(built, SUITE_TILE)
+
+
 def run_inputs(spark, sf_dir) -> runs.RunInputs:
-    """A run over the hours that have images; cameras 12 and up have no lookup map."""
+    """A run on tiles over all hours of the events; cameras without a usable calibration
+    are unmatched."""
     name = F.concat(
         F.lit("dac"), (1 + F.floor(F.col("camera") / 8)).cast("string"), F.lit("_N910A6_ch"),
         (1 + F.col("camera") % 8).cast("string"), F.lit("_main"))
-    hours = views.images(spark, sf_dir).agg(F.max("ts")).first()[0]
-    start = "2024-01-01 00:00:00"
-    grid = catalog.ClockGrid(start, 3600 * 1000000, hours + 1)
-    frames = _timed(views.pixels(spark, sf_dir)).withColumn("camera", name)
+    grid = catalog.make_grid(spark, *views.clock_limits(spark, sf_dir), "1h")
+    frames = _timed(tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)).withColumn("camera", name)
+    images = _timed(views.images(spark, sf_dir)).select("ts", name.alias("camera"))
+    cameras = _calibrated(spark, sf_dir).select(name.alias("camera"), F.col("camera").alias("cal_order"))
     grids = views.images(spark, sf_dir).select(
         "camera", F.lit(12).alias("width"), F.lit(11).alias("height"), "x_min", "y_max",
         "pixel_width", "pixel_height").distinct().withColumn("camera", name)
-    lookup = views.lookup_map(spark, sf_dir).where("camera < 12").withColumn("camera", name)
+    lookup = views.lookup_map(spark, sf_dir).withColumn("camera", name)
     return runs.RunInputs(
         paths=views.segments(spark, sf_dir).select("path"), grid=grid, frames=frames,
-        ortho_map=lookup, grids=grids, base="/v", fps=F.lit(25.0))
+        ortho_map=lookup, grids=grids, base="/v", fps=F.lit(25.0), images=images, cameras=cameras)
 
 
 _RUN_VIEWS = {
     "req": """
         select distinct cast(datediff('hour', timestamp '2024-01-01', g.ts) as bigint) ts, s.camera
         from segs s join grid g on g.ts between s.start_time and s.end_time
-        where event_id%11<>0 and g.ts<=timestamp '2024-01-01'+to_hours(cast((select max(ts) from images) as int))""",
+        where event_id%11<>0""",
     "got": "select r.ts, r.camera, i.ts is not null ok from req r left join images i using (ts, camera)",
-    "orth": "select ts, camera, camera<12 ok from got where ok",
+    "orth": f"select ts, camera, {_CALIBRATED} ok from got where ok",
 }
 
 
-@query("C10_run_stages", with_views("segs grid images", """
+@query("C10_run_stages", with_views("segs grid images latest", """
     select 'extract' stage, count(*) filter (ok) succeeded, count(*) total from got
     union all select 'ortho', count(*) filter (ok), count(*) from orth
     union all select 'mosaic', count(distinct ts), count(distinct ts) from orth where ok""", _RUN_VIEWS))
 def run_stages(spark, sf_dir):
     """Extract, orthorectify and mosaic with stage tables; the summary per stage."""
-    return runs.summary(runs.run(spark, run_inputs(spark, sf_dir), work_dir(spark, "run")))
+    return runs.summary(runs.run(
+        spark, run_inputs(spark, sf_dir), work_dir(spark, "run"), size=SUITE_TILE))
+
+
+@query("C10_run_twice", with_views("segs grid images latest", """
+    select cast(ts as bigint) as hour_no, count(*) as images from orth where ok group by ts""", _RUN_VIEWS))
+def run_twice(spark, sf_dir):
+    """Two runs over the two halves of the time into one folder; the orthos of both."""
+    whole, folder = run_inputs(spark, sf_dir), work_dir(spark, "runs")
+    half = whole.grid.count // 2
+    middle = catalog.ClockGrid(str(spark.range(1).select(whole.grid.time_at(F.lit(half))).first()[0]),
+                               whole.grid.step_micros, whole.grid.count - half)
+    for grid in (replace(whole.grid, count=half), middle):
+        runs.run(spark, replace(whole, grid=grid), folder, size=SUITE_TILE)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return tables.read_stage(spark, f"{folder}/orthos/pixels").select("ts", "camera").distinct().groupBy(
+        F.timestamp_diff("HOUR", start, F.col("ts")).alias("hour_no")).agg(F.count("*").alias("images"))
 
 
 # --- tile form -----------------------------------------------------------------------------
 
-# Small tiles, so that the small images of the suite are cut into several.
-SUITE_TILE = 4
-
-
 @query("J5_remap_tiles", with_views("orthopx", "select ts, camera, row, col, b, g, r from orthopx"))
 def remap_tiles(spark, sf_dir):
     """The gather in tile form."""
     frame_tiles = tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
     lookup = tiles.map_tiles(views.lookup_map(spark, sf_dir), SUITE_TILE)
-    built = tiles.to_pixels(tiles.remap_tiles(frame_tiles, lookup, size=SUITE_TILE), SUITE_TILE)
-    # a tile is a full block; pixels the map does not list are not part of the output
+    return _mapped_only(spark, sf_dir, tiles.remap_tiles(frame_tiles, lookup, size=SUITE_TILE))
+
+
+def _mapped_only(spark, sf_dir, ortho_tiles):
+    """Pixels of the tiles; a tile is a full block, and pixels the map does not list are
+    not part of the output."""
+    built = tiles.to_pixels(ortho_tiles, SUITE_TILE)
     return built.join(views.lookup_map(spark, sf_dir).select("camera", "row", "col"),
                       ["camera", "row", "col"], "left_semi")
 
