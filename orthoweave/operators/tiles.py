@@ -163,21 +163,40 @@ def tile_deps(lookup: DataFrame, size: int = TILE) -> DataFrame:
     return lookup.mapInArrow(deps, schema)
 
 
+def _canvases(sources: list[dict], size: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Source tiles joined to one block if they lie together, else one by one: (top, left, block)."""
+    if not sources:
+        return
+    rows, cols = ([s[k] for s in sources] for k in ("src_tile_row", "src_tile_col"))
+    high, wide = max(rows) - min(rows) + 1, max(cols) - min(cols) + 1
+    if high * wide > 4 * len(sources):
+        for source in sources:
+            yield source["src_tile_row"] * size, source["src_tile_col"] * size, _pixels_of(source, size)
+        return
+    canvas = np.zeros((high * size, wide * size, 3), np.uint8)
+    for source in sources:
+        top, left = (source["src_tile_row"] - min(rows)) * size, (source["src_tile_col"] - min(cols)) * size
+        canvas[top:top + source["height"], left:left + source["width"]] = _pixels_of(source, size)
+    yield min(rows) * size, min(cols) * size, canvas
+
+
 def _gather(lookup: dict, sources: list[dict], size: int) -> np.ndarray:
     """Bilinear gather of one output tile from the source tiles it reads."""
-    sy, sx = _subpixels(lookup, "src_y"), _subpixels(lookup, "src_x")
-    row, col, fy, fx = sy >> 5, sx >> 5, sy & 31, sx & 31
-    total = np.zeros((lookup["height"], lookup["width"], 3), np.int64)
-    for source in sources:
-        block = _pixels_of(source, size)
-        top, left = source["src_tile_row"] * size, source["src_tile_col"] * size
+    sy, sx = _subpixels(lookup, "src_y").ravel(), _subpixels(lookup, "src_x").ravel()
+    row, col, fy, fx = sy >> 5, sx >> 5, (sy & 31).astype(np.int32), (sx & 31).astype(np.int32)
+    total = np.zeros((len(row), 3), np.int32)
+    for top, left, block in _canvases(sources, size):
+        height, width = block.shape[:2]
+        flat = block.reshape(-1, 3)
         for dr in (0, 1):
             for dc in (0, 1):
-                r, c = row + dr - top, col + dc - left
-                ok = (r >= 0) & (r < source["height"]) & (c >= 0) & (c < source["width"])
+                r, c = row + (dr - top), col + (dc - left)
                 weight = (fy if dr else SUBPIXEL - fy) * (fx if dc else SUBPIXEL - fx)
-                total[ok] += weight[ok, None] * block[r[ok], c[ok]]
-    return ((total + WEIGHT_SUM // 2) // WEIGHT_SUM).astype(np.uint8)
+                weight = np.where((r >= 0) & (r < height) & (c >= 0) & (c < width), weight, 0)
+                at = np.clip(r, 0, height - 1) * width + np.clip(c, 0, width - 1)
+                total += flat[at] * weight[:, None]
+    done = (total + WEIGHT_SUM // 2) // WEIGHT_SUM
+    return done.astype(np.uint8).reshape(lookup["height"], lookup["width"], 3)
 
 
 def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | None = None,
