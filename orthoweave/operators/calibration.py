@@ -61,7 +61,8 @@ def _neighbour_join(points: DataFrame, columns: list[str], before: Column) -> Da
     """Pairs of points in the same or adjacent cells, closer than the limit.
 
     The left side visits its own cell and the four that follow it, so every pair
-    of cells meets once; ``before`` orders the points of one cell.
+    of cells meets once; ``before`` orders the points of one cell. A crowded cell is
+    split over the salts of its left points.
     """
     steps = F.array(*[
         F.struct(F.lit(dc).alias("dc"), F.lit(dr).alias("dr"))
@@ -79,7 +80,7 @@ def _neighbour_join(points: DataFrame, columns: list[str], before: Column) -> Da
     dx = F.col("a_col_sample") - F.col("b_col_sample")
     dy = F.col("a_row_sample") - F.col("b_row_sample")
     return (
-        left.join(right, ["camera", "_cc", "_cr"])
+        salted_join(left, right, ["camera", "_cc", "_cr"], [f"a_{c}" for c in columns])
         .where(~F.col("_own") | before)
         .withColumn("distance", F.sqrt(dx * dx + dy * dy))
         .where(F.col("distance") < CLOSE_PIXELS)

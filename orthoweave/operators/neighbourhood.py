@@ -1,7 +1,8 @@
 """Neighbourhood operators on rasters, as two one-dimensional window passes.
 
 Rasters are rows (image keys, row, col, value). A window holds one raster row or
-column, never a whole raster. Borders mirror without repeating the edge pixel.
+column, never a whole raster. Borders mirror without repeating the edge pixel; a
+missing pixel is a border, so values never come from beyond a hole.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ NORM_GUARD = 1e-10
 COST_METHODS = ("gradient", "variance", "combined")
 
 
-def _neighbours(value: str, window) -> tuple[Column, Column]:
-    """Value before and after, mirrored at both ends."""
-    before, after = F.lag(value).over(window), F.lead(value).over(window)
-    here = F.col(value)
+def _neighbours(value: str, window, axis: str) -> tuple[Column, Column]:
+    """Value before and after on the axis, mirrored at both ends."""
+    here, at = F.col(value), F.col(axis)
+    before = F.when(F.lag(axis).over(window) == at - 1, F.lag(value).over(window))
+    after = F.when(F.lead(axis).over(window) == at + 1, F.lead(value).over(window))
     return F.coalesce(before, after, here), F.coalesce(after, before, here)
 
 
@@ -28,12 +30,12 @@ def sobel_gradient(raster: DataFrame, keys: list[str], value: str = "gray",
                    row: str = "row", col: str = "col") -> DataFrame:
     """Adds gx, gy and gradient, the 3 x 3 Sobel derivatives and their length."""
     along = W.partitionBy(*keys, row).orderBy(col)
-    left, right = _neighbours(value, along)
+    left, right = _neighbours(value, along, col)
     passed = raster.withColumns({
         "_dx": right - left, "_sx": left + 2 * F.col(value) + right})
     down = W.partitionBy(*keys, col).orderBy(row)
-    dx_up, dx_down = _neighbours("_dx", down)
-    sx_up, sx_down = _neighbours("_sx", down)
+    dx_up, dx_down = _neighbours("_dx", down, row)
+    sx_up, sx_down = _neighbours("_sx", down, row)
     return (
         passed.withColumns({
             "gx": dx_up + 2 * F.col("_dx") + dx_down,
@@ -57,7 +59,7 @@ def _mirrored_positions(index: Column, size: Column, radius: int) -> Column:
 
 def _box_pass(raster: DataFrame, keys: list[str], across: str, axis: str, size: str,
               sums: dict[str, Column], radius: int) -> DataFrame:
-    window = W.partitionBy(*keys, across).orderBy("_p").rowsBetween(-radius, radius)
+    window = W.partitionBy(*keys, across).orderBy("_p").rangeBetween(-radius, radius)
     padded = raster.withColumn(
         "_p", F.explode(_mirrored_positions(F.col(axis), F.col(size), radius)))
     summed = padded.withColumns({name: F.sum(c).over(window) for name, c in sums.items()})
@@ -117,8 +119,8 @@ def quality_cost(raster: DataFrame, keys: list[str], method: str = "gradient",
 def seam_boundary(mask: DataFrame, keys: list[str], value: str = "mask",
                   row: str = "row", col: str = "col") -> DataFrame:
     """Adds boundary: cells outside the mask that touch it, diagonals included."""
-    along = W.partitionBy(*keys, row).orderBy(col).rowsBetween(-1, 1)
-    down = W.partitionBy(*keys, col).orderBy(row).rowsBetween(-1, 1)
+    along = W.partitionBy(*keys, row).orderBy(col).rangeBetween(-1, 1)
+    down = W.partitionBy(*keys, col).orderBy(row).rangeBetween(-1, 1)
     return (
         mask.withColumn("_any", F.max(F.col(value).cast("int")).over(along))
         .withColumn("_any", F.max("_any").over(down))

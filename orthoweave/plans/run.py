@@ -68,7 +68,9 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
 
     def keep(found: DataFrame, name: str) -> DataFrame:
         tables.write_list(found, f"{folder}/{name}")
-        return stored(name)
+        # with its schema, since a list without rows has no file to take one from
+        table = spark.read.schema(found.schema).parquet(f"{folder}/{name}")
+        return table.where(F.col("ts").between(first, last))
 
     rows = []
     if "extract" in stages:

@@ -284,3 +284,10 @@ def test_far_source_pixels_and_missing_sources(spark):
     made = tiles.to_pixels(tiles.remap_tiles(tiles.to_tiles(late, size), tiles.map_tiles(small, size), size=size), size)
     found = {(r.row, r.col): (r.b, r.g, r.r) for r in made.collect()}
     assert found[8, 0] == (9, 8, 7) and all(found[8, c] == (0, 0, 0) for c in (1, 2, 3, 4))
+
+
+def test_neighbours_stop_at_a_hole(spark):
+    cells = [(1, 0, c, v) for c, v in ((0, 10), (1, 20), (3, 100))]
+    raster = spark.createDataFrame(cells, "ts int, row int, col int, gray int")
+    found = {r.col: r.gx for r in neighbourhood.sobel_gradient(raster, ["ts"]).collect()}
+    assert found == {0: 0, 1: 0, 3: 0}  # no value comes from the other side of column 2
