@@ -38,8 +38,9 @@ GRAM = 32
 MAX_LENGTH = (255 - 10 + GRAM) // 2
 #: Bytes of text looked at in one step; positions inside a step take twenty bits.
 STEP = 1 << 20
-#: Stretches a task sorts into one run, and stretches per range of the merge.
-RUN_ENTRIES, RANGE_ENTRIES = 250_000, 150_000
+#: Stretches a task sorts into one run, stretches per range of the merge, and spans that
+#: are gathered before they are joined and sent on.
+RUN_ENTRIES, RANGE_ENTRIES, SPAN_ENTRIES = 60_000, 60_000, 50_000
 
 _FACTORS = [np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -336,7 +337,7 @@ def _write_runs(files: list[str], ranges: int, length: int):
                             first_of[key] = position
                             position = other
                         spans.add(position, position[2] + z - f)
-                if len(first_of) > RUN_ENTRIES:
+                if len(first_of) > RUN_ENTRIES or len(spans.rows) > SPAN_ENTRIES:
                     yield flush()
         yield flush()
     return run
@@ -386,7 +387,7 @@ def _merge_range(length: int):
                 spans.add(position, position[2] + len(_text_of(entry)) - length)
             else:
                 group.append((entry, position))
-            if len(spans.rows) > 500_000:
+            if len(spans.rows) > SPAN_ENTRIES:
                 yield spans.batch()
         if len(group) > 1:
             _resolve(group, length, spans)
