@@ -28,11 +28,16 @@ from orthoweave.session import work_dir
 
 END_ID = 0
 MAGIC = b"MPHIDS01"
-#: Distinct words whose ids a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 400_000
+#: Words in a generation of a worker's memory. When one is full, the words used since
+#: then are kept and older ones forgotten.
+REMEMBERED = 250_000
+#: Marks at a word's end that are a token of their own after a letter or digit.
+END_MARKS = ",.!?;:"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-#: A blank next to another blank: there a word cut would change the tokens.
-_DOUBLE_BLANK = re.compile(r" \s|\s |^ | $")
+#: Blanks other than space and line end.
+_OTHER_BLANK = re.compile(r"[^\S \n]")
+_BLANK = re.compile(r"\s")
+_INNER_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -131,10 +136,38 @@ class ShardIndex:
         return np.where(known, slots, -1)
 
 
+def _odd_blanks(text: str) -> bool:
+    """Whether blanks stand next to each other or at an end, or are of another kind: there
+    a cut at each blank could change the tokens."""
+    return (
+        text[:1] in " \n" or text[-1:] in " \n" or "  " in text or "\n\n" in text or " \n" in text
+        or "\n " in text or _OTHER_BLANK.search(text) is not None)
+
+
+class Memory:
+    """Ids of words in two generations."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """The words not remembered; the others are in this generation afterwards."""
+        old = words.difference(self.now)
+        known = old.intersection(self.before)
+        self.now.update((w, self.before[w]) for w in known)
+        return list(old.difference(known))
+
+    def turn(self) -> None:
+        if len(self.now) > REMEMBERED:
+            self.now, self.before = {}, self.now
+
+
 class Encoder:
-    """Texts to packed ids. For byte-level vocabularies a text is cut before blanks that
-    stand between two other characters, where its tokens part anyway, and the ids of
-    each distinct word are computed once."""
+    """Texts to packed ids. For byte-level vocabularies a text is cut at line ends and
+    before blanks that stand between two other characters, where its tokens part anyway,
+    and the ids of each distinct word are computed once. New words are encoded as the
+    lines of one text, since the call costs more than the word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -143,44 +176,87 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         cut = spec.get("pre_tokenizer") or {}
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_word = (
             spec.get("normalizer") is None and cut.get("type") == "ByteLevel"
             and not cut.get("add_prefix_space") and cut.get("use_regex", True)
-            and spec.get("model", {}).get("dropout") is None)
+            and spec.get("model", {}).get("dropout") is None and len(line_end) == 1)
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.line_end = line_end[0] if self.by_word else None
+        self.line_end_packed = self._pack(line_end)
+        self.marks = {c: self._pack(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in END_MARKS}
+        self.first, self.later = Memory(), Memory()
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
 
-    def _learn(self, memory: dict[str, bytes], words: set[str], blank: str) -> None:
-        new = [w for w in words if w not in memory]
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            found = self.tokenizer.encode_batch_fast([blank + w for w in part], add_special_tokens=False)
-            memory.update((w, self._pack(e.ids)) for w, e in zip(part, found, strict=True))
+    def _encode_plain(self, words: list[str], blank: str) -> list[bytes]:
+        """Ids of words without blanks in them, many at a time as lines of a text."""
+        out: list[bytes] = []
+        parts = [words[at:at + 2000] for at in range(0, len(words), 2000)]
+        texts = [blank + ("\n" + blank).join(part) for part in parts]
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(found.ids, f"<u{self.width}")
+            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * self.width
+            begins = np.concatenate(([0], ends[:-1] + self.width))
+            raw = ids.tobytes()
+            out += [raw[b:e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+        return out
+
+    def _learn(self, memory: Memory, words: set[str], blank: str) -> None:
+        new = memory.missing(words)
+        if not new:
+            return
+        if "\n".join(new).split() != new:
+            for word in [w for w in new if not w or _BLANK.search(w)]:
+                memory.now[word] = self._pack(self.tokenizer.encode(blank + word, add_special_tokens=False).ids)
+            new = [w for w in new if w not in memory.now]
+        marked = [w for w in new if len(w) > 1 and w[-1] in END_MARKS and w[-2].isalnum()]
+        stems = memory.missing({w[:-1] for w in marked})
+        plain = list(set(new).difference(marked).union(stems))
+        memory.now.update(zip(plain, self._encode_plain(plain, blank), strict=True))
+        memory.now.update((w, memory.now[w[:-1]] + self.marks[w[-1]]) for w in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > REMEMBERED:
-            self.first.clear()
-            self.later.clear()
+        self.first.turn()
+        self.later.turn()
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
+        starts: list[str] = []  # first words of lines
+        rest: list[str] = []  # the words after them
+        lines: list[int] = []  # where the rest of each line ends
+        docs: list[tuple[int, int]] = []  # (text, where its lines end)
         for i, text in enumerate(texts):
             if not self.by_word or any(x in text for x in self.added):
                 out[i] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            elif _DOUBLE_BLANK.search(text):
-                cut[i] = re.split(r"(?<=\S) (?=\S)", text)
-            else:
-                cut[i] = text.split(" ")
-        self._learn(self.first, {w[0] for w in cut.values()}, "")
-        self._learn(self.later, {x for w in cut.values() for x in w[1:]}, " ")
-        for i, words in cut.items():
-            out[i] = self.first[words[0]] + b"".join([self.later[x] for x in words[1:]])
+                continue
+            odd = _odd_blanks(text)
+            for line in [text] if odd else text.split("\n"):
+                words = _INNER_BLANK.split(line) if odd else line.split(" ")
+                starts.append(words[0])
+                rest += words[1:]
+                lines.append(len(rest))
+            docs.append((i, len(lines)))
+        heads, tails = self._look_up(self.first, starts, ""), self._look_up(self.later, rest, " ")
+        at = begin = 0
+        for i, last in docs:
+            parts = []
+            for k in range(begin, last):
+                parts.append(heads[k] + b"".join(tails[at:lines[k]]))
+                at = lines[k]
+            out[i], begin = self.line_end_packed.join(parts), last
         return out
 
+    def _look_up(self, memory: Memory, words: list[str], blank: str) -> list[bytes]:
+        """Ids of the words; one look into the memory each, a second for new ones only."""
+        found = list(map(memory.now.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            self._learn(memory, {words[i] for i in new}, blank)
+            for i in new:
+                found[i] = memory.now[words[i]]
+        return found
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -215,8 +291,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str | None = None
         with system.open_output_stream(path + ".ids") as out:
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                for at in range(0, len(texts), 256):
-                    packed = encoder.encode([t or "" for t in texts[at:at + 256]])
+                for at in range(0, len(texts), 1000):
+                    packed = encoder.encode([t or "" for t in texts[at:at + 1000]])
                     out.write(b"".join(x for p in packed for x in (p, end)))
                     counts += [len(p) // encoder.width + 1 for p in packed]
                 nulls.append(np.asarray(batch.column(0).is_null()))
