@@ -22,12 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting to remove the shuffle files of a query when it has ended.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table into the shared folder and reads it back: cuts lineage and
-    survives the loss of an executor."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    survives the loss of an executor. The table stands for its shuffles, whose files go."""
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bucket_of_id(modulus: int, column: str = "doc_id") -> Column:

@@ -60,8 +60,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("clean_md5"))
+    return line_dedup.decisions(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query("op8_quality_classifier")
