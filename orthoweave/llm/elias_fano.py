@@ -68,28 +68,34 @@ class EliasFano:
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """For each x the position of the first value not below it (n if none)."""
+        return self._search(x)[0]
+
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of the successors, where the elements with the high bits of x end,
+        and the low bits of x."""
         if not self.n:
-            return np.zeros(len(x), np.int64)
+            return np.zeros(len(x), np.int64), np.zeros(len(x), np.int64), x
         high = x >> self.bits
         # elements of a high value lie between the zero before and the zero after it
         begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, 255, _ZERO_IN_BYTE) - high + 1, 0)
-        end = self._select(high, self.zeros, 255, _ZERO_IN_BYTE) - high
+        last = self._select(high, self.zeros, 255, _ZERO_IN_BYTE) - high
         if not self.bits:
-            return begin
-        low = (x & ((1 << self.bits) - 1)).astype(np.int64)
-        while True:
-            open_ = begin < end
-            if not open_.any():
-                return begin
-            middle = (begin + end) >> 1
-            less = open_ & (self.low[np.minimum(middle, self.n - 1)].astype(np.int64) < low)
-            begin = np.where(less, middle + 1, begin)
-            end = np.where(open_ & ~less, middle, end)
+            return begin, last, np.zeros(len(x), np.int64)
+        low = x & ((1 << self.bits) - 1)
+        end = last.copy()
+        open_ = np.flatnonzero(begin < end)
+        while len(open_):  # only those that are still searched
+            middle = (begin[open_] + end[open_]) >> 1
+            less = self.low[middle] < low[open_]
+            begin[open_[less]] = middle[less] + 1
+            end[open_[~less]] = middle[~less]
+            open_ = open_[begin[open_] < end[open_]]
+        return begin, last, low
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Positions of the values, -1 for values that are not there."""
-        at = self.successor(x)
-        inside = at < self.n
-        there = np.zeros(len(x), bool)
-        there[inside] = self.access(at[inside]) == x[inside]
+        at, last, low = self._search(x)
+        there = at < last
+        if self.bits:
+            there[there] = self.low[at[there]] == low[there]
         return np.where(there, at, -1)

@@ -136,15 +136,22 @@ class Level:
         p, weight = np.zeros(len(parents)), np.ones(len(parents))
         if not len(self.files):
             return entry, p, weight
-        home = _segment_of(parents, len(self.files))
-        order = np.argsort(home, kind="stable")
-        cuts = np.searchsorted(home[order], np.arange(len(self.files) + 1))
+        # parents repeat, so each is looked up once; segments keep their rows together
+        kinds, back = np.unique(parents, return_inverse=True)
+        home = _segment_of(kinds, len(self.files))
+        by_home = home[back]
+        order, kind_order = np.argsort(by_home, kind="stable"), np.argsort(home, kind="stable")
+        every = np.arange(len(self.files) + 1)
+        cuts, kind_cuts = np.searchsorted(by_home[order], every), np.searchsorted(home[kind_order], every)
+        ranks = np.full(len(kinds), -1, np.int64)
         for i, file in enumerate(self.files):
-            rows = order[cuts[i]:cuts[i + 1]]
-            if not len(rows) or not file:
+            own = kind_order[kind_cuts[i]:kind_cuts[i + 1]]
+            if not len(own) or not file:
                 continue
             segment = self.segment(i)
-            rank = segment.parents.find(parents[rows])
+            ranks[own] = segment.parents.find(kinds[own])
+            rows = order[cuts[i]:cuts[i + 1]]
+            rank = ranks[back[rows]]
             rows, rank = rows[rank >= 0], rank[rank >= 0]
             weight[rows] = _unpack(segment.weights[rank])
             known = words[rows] >= 0
@@ -158,8 +165,10 @@ class Level:
     def counts_of(self, entries: np.ndarray) -> np.ndarray:
         out = np.zeros(len(entries), np.int64)
         home = np.searchsorted(self.bases, entries, side="right") - 1
-        for i in np.unique(home).tolist():
-            own = np.flatnonzero(home == i)
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(len(self.files) + 1))
+        for i in np.flatnonzero(np.diff(cuts)).tolist():
+            own = order[cuts[i]:cuts[i + 1]]
             out[own] = self.segment(i).counts[entries[own] - self.bases[i]]
         return out
 
@@ -367,10 +376,14 @@ class Reader:
         entry = self._entries(parent, numbers)
         out = np.concatenate(([-1], entry[:-1]))
         out[starts] = -1
-        known = np.flatnonzero(out >= 0)
-        often = self.levels[0].counts_of(out[known]) >= MIN_COUNT[3]
-        out[known[~often]] = -1
-        return out, numbers
+        return self._with_children(out), numbers
+
+    def _with_children(self, entries: np.ndarray) -> np.ndarray:
+        """-1 for entries of level 2 that are too rare to be a parent at level 3."""
+        known = np.flatnonzero(entries >= 0)
+        often = self.levels[0].counts_of(entries[known]) >= MIN_COUNT[3]
+        entries[known[~often]] = -1
+        return entries
 
     def _entries(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.full(len(word), -1, np.int64)
@@ -389,6 +402,7 @@ class Reader:
             else:
                 parent = np.concatenate(([-1], entry[:-1]))
                 parent[starts] = -1
+                parent = self._with_children(parent)
             good = np.flatnonzero(parent >= 0)
             found, own, weight = level.search(parent[good], numbers[good])
             p[good] = own + weight * p[good]
