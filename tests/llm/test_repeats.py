@@ -228,3 +228,13 @@ def test_similarity_shortcuts(spark, rng):
     frame = spark.createDataFrame(pairs, "a string, b string")
     for r in frame.select("a", "b", line_dedup.similar(F.col("a"), F.col("b")).alias("s")).collect():
         assert r.s == (distance(r.a, r.b) <= max(len(r.a), len(r.b)) * 20 // 100), (r.a, r.b)
+
+
+def test_similarity_of_repeated_words(spark):
+    """Common beginning and end overlap in such lines."""
+    pairs = [(" ".join(["no"] * n), " ".join(["no"] * m)) for n in range(1, 12) for m in range(1, 12)]
+    pairs += [(" ".join(["a b c d"] * n), " ".join(["a b c d"] * m)) for n in range(1, 7) for m in range(1, 7)]
+    pairs += [("la la di la la", "la la la la"), ("1 2 1 2 1 2 3", "1 2 1 2 3"), ("x " * 9 + "y", "x " * 9 + "z")]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    for r in frame.select("a", "b", line_dedup.similar(F.col("a"), F.col("b")).alias("s")).collect():
+        assert r.s == (distance(r.a, r.b) <= max(len(r.a), len(r.b)) * 20 // 100), (r.a, r.b)
