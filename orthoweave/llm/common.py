@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyarrow import fs as arrow_fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orthoweave.session import work_dir
@@ -92,3 +92,41 @@ def connected_components(edges: DataFrame, a: str, b: str, purpose: str) -> Data
             F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m")).distinct()
         state = materialise(small, purpose)
     return state.select(F.col("u").alias("vertex"), F.col("v").alias("root"))
+
+
+def linked(keyed: DataFrame, near: Callable[[Column, Column], Column],
+           prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], purpose: str) -> DataFrame:
+    """(vertex, root) of the vertices that are linked to another. keyed: (vertex, mark,
+    bucket); vertices that share a bucket and whose marks are near are candidates.
+    prepare gets the (vertex) rows that share a bucket and gives the function that keeps
+    the right ones of pairs (a, b).
+
+    First each vertex is compared with two pivots of each of its buckets (smallest
+    and largest), so a crowd costs as many comparisons as it has members. Only pairs
+    that are not connected by then are compared one by one: no link that matters is
+    lost, and none inside a group is formed twice.
+    """
+    bucket = Window.partitionBy("bucket")
+    me = F.struct("vertex", "mark")
+    pivots = keyed.withColumn("low", F.min(me).over(bucket)).withColumn("high", F.max(me).over(bucket))
+    pivots = pivots.where("low.vertex <> high.vertex").select("vertex", "mark", "bucket", *[
+        F.when(near(F.col("mark"), F.col(f"{p}.mark")) & (F.col("vertex") != F.col(f"{p}.vertex")),
+               F.col(f"{p}.vertex")).alias(p) for p in ("low", "high")])
+    crowded = materialise(pivots, f"{purpose}-crowded")
+    verified = prepare(crowded.select("vertex").distinct())
+    stars = [
+        crowded.where(F.col(p).isNotNull()).select(
+            F.least("vertex", p).alias("a"), F.greatest("vertex", p).alias("b"))
+        for p in ("low", "high")]
+    tried = stars[0].union(stars[1]).distinct()
+    first = materialise(verified(tried), f"{purpose}-stars")
+    roots = connected_components(first, "a", "b", f"{purpose}-edges")
+    named = crowded.select("vertex", "mark", "bucket").join(roots, "vertex", "left").withColumn(
+        "root", F.coalesce("root", "vertex"))
+    p, q = named.alias("p"), named.alias("q")
+    rest = p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.vertex") < F.col("q.vertex"))
+                  & (F.col("p.root") != F.col("q.root")) & near(F.col("p.mark"), F.col("q.mark")))
+    rest = rest.select(F.col("p.vertex").alias("a"), F.col("q.vertex").alias("b")).distinct()
+    # pairs already refused as stars need no second comparison
+    rest = materialise(verified(rest.join(tried, ["a", "b"], "left_anti")), f"{purpose}-rest")
+    return connected_components(first.union(rest), "a", "b", f"{purpose}-edges")

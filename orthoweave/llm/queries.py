@@ -60,7 +60,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.decisions(table(spark, sf_dir, "documents")).drop("text_key")
+    return line_dedup.decisions(table(spark, sf_dir, "documents"), whole=True).drop("text_key")
 
 
 @query("op8_quality_classifier")

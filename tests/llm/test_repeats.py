@@ -238,3 +238,49 @@ def test_similarity_of_repeated_words(spark):
     frame = spark.createDataFrame(pairs, "a string, b string")
     for r in frame.select("a", "b", line_dedup.similar(F.col("a"), F.col("b")).alias("s")).collect():
         assert r.s == (distance(r.a, r.b) <= max(len(r.a), len(r.b)) * 20 // 100), (r.a, r.b)
+
+
+def similar_groups(rows, least):
+    """Removed (doc_id, line) by brute force: edit similarity only, from `least` characters."""
+    lines = {}
+    for doc_id, text in rows:
+        for no, line in enumerate(text.split("\n")):
+            if n := re.sub(r" +", " ", norm(line)):
+                lines.setdefault(n, []).append((doc_id, no))
+    kinds = sorted(lines)
+    root = {k: k for k in kinds}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+    for i, a in enumerate(kinds):
+        for b in kinds[i + 1:]:
+            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= max(len(a), len(b)) // 5 and find(a) != find(b) \
+                    and distance(a, b) <= max(len(a), len(b)) * 20 // 100:
+                root[find(a)] = find(b)
+    groups = {}
+    for k in kinds:
+        groups.setdefault(find(k), []).extend(lines[k])
+    return {p for g in groups.values() for p in g if p != min(g)}
+
+
+def query_removes(spark, folder, rows):
+    from orthoweave.llm.queries import QUERIES
+    spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS).write.parquet(f"{folder}/documents.parquet")
+    return {(r.doc_id, no) for r in QUERIES["op7_line_dedup"](spark, str(folder)).collect() for no in r.removed}
+
+
+def test_line_query_finds_changed_words(spark, tmp_path):
+    """Copies with one or two changed words, far more than three bits of a SimHash apart."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(20):
+        words = sentence(rng, rng.choice([8, 12, 20, 40])).split(" ")
+        for k in range(3):
+            own = list(words)
+            for _ in range(k and 1 + len(words) // 20):
+                own[rng.randrange(len(own))] = "".join(rng.choice("bdfgzx") for _ in range(4))
+            rows.append((3 * i + k, " ".join(own) + "\n" + sentence(rng, 15)))
+    want, found = similar_groups(rows, 20), query_removes(spark, tmp_path, rows)
+    assert len(want) > 30 and found <= want and len(found) >= 0.95 * len(want)
