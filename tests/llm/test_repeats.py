@@ -284,3 +284,12 @@ def test_line_query_finds_changed_words(spark, tmp_path):
             rows.append((3 * i + k, " ".join(own) + "\n" + sentence(rng, 15)))
     want, found = similar_groups(rows, 20), query_removes(spark, tmp_path, rows)
     assert len(want) > 30 and found <= want and len(found) >= 0.95 * len(want)
+
+
+def test_line_query_takes_short_lines(spark, tmp_path):
+    """Exact copies of short lines and of lines without blanks go, similar short lines stay."""
+    menu = ["Home", "share this page", "Page 12", "Page 13", "你好世界欢迎来到这里", "これは一行の長い日本語の文章ですので空白がありません", "ยินดีต้อนรับ", "--", ""]
+    rng = random.Random(5)
+    rows = [(i, "\n".join([*rng.sample(menu, 6), sentence(rng, 14)])) for i in range(12)]
+    want = similar_groups(rows, 20)
+    assert len(want) > 30 and query_removes(spark, tmp_path, rows) == want
