@@ -10,8 +10,8 @@ Each entry has a quantised discounted probability, each parent a quantised weigh
 the shorter context. Segments are files in the shared folder, memory-mapped by tasks.
 
 Probability (interpolated absolute discounting): ``p_k = (c - d) / c(parent) +
-weight(parent) * p_(k-1)``; ``p_1 = (c + 0.5) / (N + 0.5 (V + 1))``. Entries of level 3
-that occur once are left to the shorter context, as is usual for large corpora.
+weight(parent) * p_(k-1)``; ``p_1 = (c + 0.5) / (N + 0.5 (V + 1))``. The registered query
+keeps every n-gram; by default entries of level 3 that occur once are left out.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ from orthoweave.session import work_dir
 
 ORDER = 3
 DISCOUNT = 0.75
-#: Occurrences an n-gram needs to enter its level.
+#: Occurrences an n-gram needs to enter its level: by default, and to keep all.
 MIN_COUNT = {2: 1, 3: 2}
+EVERY = {2: 1, 3: 1}
 #: Steps of a unit of log10 in which probabilities and weights are kept, in 16 bits.
 QUANTA = 2048
 #: Tokens of the corpus per segment of a level.
@@ -277,7 +278,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[n
 
 def _write_segments(model: Model, level: int, parent_counts: bool):
     """Merges the runs of a segment and writes its arrays."""
-    least = MIN_COUNT[level]
+    least = model.min_count[level]
 
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.open()
@@ -330,7 +331,9 @@ def _merge(runs: list) -> np.ndarray:
 class Model:
     """What tasks need to open the trie: names of files and totals."""
 
-    def __init__(self, folder: str, word_files: list[str], vocabulary: int, n_tokens: int):
+    def __init__(self, folder: str, word_files: list[str], vocabulary: int, n_tokens: int,
+                 min_count: dict[int, int] = MIN_COUNT):
+        self.min_count = min_count
         self.folder, self.word_files, self.vocabulary, self.n_tokens = folder, word_files, vocabulary, n_tokens
         self.segments = max(1, -(-n_tokens // SEGMENT_TOKENS))
         self.levels: list[tuple[list[str], list[int]]] = []
@@ -352,6 +355,7 @@ class Reader:
     def __init__(self, model: Model):
         self.words = Words(model.word_files)
         self.n_tokens, self.vocabulary = model.n_tokens, model.vocabulary
+        self.min_count = model.min_count
         self.levels = [Level(files, sizes, len(self.words)) for files, sizes in model.levels]
         self.end = int(self.words.numbers([END])[0])
 
@@ -368,7 +372,7 @@ class Reader:
 
     def parents(self, numbers: np.ndarray, starts: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         """Parent entries (or -1) and last words of the n-grams that end at each token. At
-        level 3 a document's first token has none, and a parent that occurs once cannot
+        level 3 a document's first token has none, nor has one whose parent is too rare to
         have a kept child."""
         parent = self.before(numbers, starts)
         if level == 2:
@@ -380,8 +384,10 @@ class Reader:
 
     def _with_children(self, entries: np.ndarray) -> np.ndarray:
         """-1 for entries of level 2 that are too rare to be a parent at level 3."""
+        if self.min_count[3] <= self.min_count[2]:
+            return entries
         known = np.flatnonzero(entries >= 0)
-        often = self.levels[0].counts_of(entries[known]) >= MIN_COUNT[3]
+        often = self.levels[0].counts_of(entries[known]) >= self.min_count[3]
         entries[known[~often]] = -1
         return entries
 
@@ -411,13 +417,13 @@ class Reader:
         return p, base, counts
 
 
-def build(training: DataFrame, order: int = ORDER) -> Model:
+def build(training: DataFrame, order: int = ORDER, min_count: dict[int, int] = MIN_COUNT) -> Model:
     """Counts the corpus level by level and writes the trie to the shared folder. Counts
     travel as packed sorted runs, one per task, segment and half a million tokens."""
     spark = training.sparkSession
     folder = work_dir(spark, "lm-trie")
     texts = _texts(training)
-    model = Model(folder, *_vocabulary(texts, folder))
+    model = Model(folder, *_vocabulary(texts, folder), min_count)
     for level in range(2, order + 1):
         if not model.n_tokens:
             break
@@ -470,9 +476,9 @@ class _NoWords:
         return np.full(len(words), -1, np.int64)
 
 
-def held_out_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def held_out_scores(spark: SparkSession, docs: DataFrame, min_count: dict[int, int] = MIN_COUNT) -> DataFrame:
     """Scores of all documents by a model of those outside the held-out fifth."""
     held = bucket_of_id(5) == 1
-    model = build(docs.where(~held))
+    model = build(docs.where(~held), min_count=min_count)
     return score(docs, model).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -49,7 +49,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_lm_scoring")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_model.held_out_scores(spark, table(spark, sf_dir, "documents"))
+    return ngram_model.held_out_scores(spark, table(spark, sf_dir, "documents"), ngram_model.EVERY)
 
 
 @query("op6_simhash")

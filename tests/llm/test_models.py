@@ -133,3 +133,36 @@ def test_statistics_are_finite():
     for text in [None, "", " ", "\n\n", "a", "!" * 1000, "".join(chr(rng.randint(1, 0x2FF)) for _ in range(500))]:
         values = quality_classifier.statistics(text)
         assert len(values) == len(quality_classifier.FEATURES) and all(map(math.isfinite, values))
+
+
+def test_query_keeps_trigrams_that_occur_once(spark, tmp_path, rng):
+    """Against dictionaries that hold every n-gram, on texts where most trigrams occur once."""
+    from orthoweave.llm.queries import QUERIES
+
+    from .conftest import DOCS, sentence
+    rows = [(i, sentence(rng, 60)) for i in range(30)]
+    spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    c1, c2, c3 = Counter(), Counter(), Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            s = [b"", *ngram_model.tokens(t)]
+            c1.update(s[1:])
+            c2.update(zip(s, s[1:], strict=False))
+            c3.update(zip(s, s[1:], s[2:], strict=False))
+    w2, w3, total = Counter(), Counter(), sum(c1.values())
+    for (a, _), n in c2.items():
+        w2[a] += (n - 0.75) / c1[a]
+    for (a, b, _), n in c3.items():
+        w3[a, b] += (n - 0.75) / c2[a, b]
+    assert sum(n == 1 for n in c3.values()) > len(c3) // 2
+    found = {r.doc_id: r.score for r in QUERIES["op5_lm_scoring"](spark, str(tmp_path)).collect()}
+    for i, t in rows:
+        s, score = [b"", *ngram_model.tokens(t)], 0.0
+        for k in range(1, len(s)):
+            p = (c1[s[k]] + 0.5) / (total + 0.5 * (len(c1) + 1))
+            if s[k - 1] in w2:
+                p = max(c2[s[k - 1], s[k]] - 0.75, 0) / c1[s[k - 1]] + (1 - w2[s[k - 1]]) * p
+            if k > 1 and (s[k - 2], s[k - 1]) in w3:
+                p = max(c3[s[k - 2], s[k - 1], s[k]] - 0.75, 0) / c2[s[k - 2], s[k - 1]] + (1 - w3[s[k - 2], s[k - 1]]) * p
+            score += math.log10(p)
+        assert found[i] == pytest.approx(score, abs=2e-3 * len(s) + 1e-9)
