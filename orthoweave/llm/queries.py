@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orthoweave.llm import (
-    decontamination, line_dedup, mixing, ngram_model, oracles, quality_classifier, quality_rules, simhash, suffix_dedup, token_output, warc)
+    decontamination, line_dedup, mixing, ngram_model, oracles, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_output,
+    warc)
 from orthoweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_output.token_digest(table(spark, sf_dir, "documents"), path)
+
+
+@query("op11_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
