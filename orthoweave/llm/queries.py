@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orthoweave.llm import (
-    decontamination, line_dedup, mixing, ngram_model, oracles, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_output,
+    decontamination, line_dedup, merkle, mixing, ngram_model, oracles, packing, quality_classifier, quality_rules, ranked_search, simhash, suffix_dedup, token_output,
     warc)
 from orthoweave.llm.common import table
 
@@ -83,3 +83,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_packing")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op12_merkle_manifest", oracles.MERKLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_ranked_search", oracles.RANKED_SEARCH)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
