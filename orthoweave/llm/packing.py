@@ -17,11 +17,14 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,85 +37,105 @@ END_ID = 2
 MAX_OPEN = 2048
 #: Documents encoded and placed together.
 STEP = 1000
-#: Marks at a word's end that are a token of their own after a letter or digit.
+#: Marks that are a token of their own at a word's end.
 END_MARKS = ",.!?;:"
-#: A word of its own that parts the words of a batch.
-_PART = "\x01"
+#: Below this letter, lower case is one letter and nothing composes with its neighbours.
+LATIN_END = "\u0130"
 #: Bits of a sequence id below the task's number.
 _TASK_SHIFT = 40
 
 
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as a letter: printable Latin-1 bytes as they
+    are, the others as the letters from U+0100 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Texts to packed ids. Where the vocabulary drops white space and normalises within
     words only, a text is cut at spaces and line ends and each distinct word is encoded
-    once; other vocabularies, and texts with added tokens in them, are encoded whole."""
+    once; other vocabularies, and texts with added tokens in them, are encoded whole.
+
+    Printable words of Latin letters need no normalisation but lower case, so they are
+    cut by the vocabulary's own pattern and go straight to its merges; other words pass
+    through the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         norms = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        part = self.tokenizer.encode(_PART, add_special_tokens=False).ids
+        pattern = cuts[0].get("pattern", {}).get("Regex", "")
         self.by_word = (
             norms == ["NFC", "Replace", "Lowercase"] and cuts[0].get("type") == "Split" and cuts[0].get("invert") is True
-            and cuts[0].get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in cuts[0]["pattern"].get("Regex", "")
-            and spec.get("model", {}).get("dropout") is None and len(part) == 1)
-        self.part = part[0] if self.by_word else None
+            and cuts[0].get("behavior") == "Removed" and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and [x.get("type") for x in cuts[1:]] == ["ByteLevel"] and not cuts[1].get("add_prefix_space")
+            and not cuts[1].get("use_regex") and spec.get("model", {}).get("dropout") is None)
+        self.parts = regex.compile(pattern).findall
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
-        self.marks = {c: self._pack(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in END_MARKS}
+        self.code = "H" if self.width == 2 else "I"
+        self.marks = {c: self._whole(c) for c in END_MARKS}
         self.memory = Memory()
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _encode_stems(self, stems: list[str]) -> list[bytes]:
-        """Ids of words without _PART, many at a time as words of one text."""
-        out: list[bytes] = []
-        texts = [f" {_PART} ".join(stems[at:at + 2000]) for at in range(0, len(stems), 2000)]
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(found.ids, f"<u{self.width}")
-            ends = np.append(np.flatnonzero(ids == self.part), len(ids)) * self.width
-            begins = np.concatenate(([0], ends[:-1] + self.width))
-            raw = ids.tobytes()
-            out += [raw[b:e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
-        return out
+    def _part(self, part: str) -> bytes:
+        """Ids of one part of a word, in lower case."""
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+        return self._pack([t.id for t in self.model.tokenize(letters)])
 
     def _learn(self, words: set[str]) -> None:
-        new = self.memory.missing(words)
-        now, split = self.memory.now, {}
-        for word in new:
-            stem, mark = word, ""
-            if len(word) > 1 and word[-1] in END_MARKS and word[-2].isalnum():
-                stem, mark = word[:-1], word[-1]
-            split[word] = (stem.lower() if stem.isascii() else stem, mark)
-        stems = self.memory.missing({s for s, _ in split.values()})
-        odd = [s for s in stems if _PART in s]
-        plain = [s for s in stems if _PART not in s]
-        now.update((s, self._whole(s)) for s in odd)
-        if plain:
-            now.update(zip(plain, self._encode_stems(plain), strict=True))
-        now.update((w, now[s] + self.marks[m] if m else now[s]) for w, (s, m) in split.items())
+        now, memory, marks = self.memory.now, self.memory, self.marks
+        for word in memory.missing(words):
+            mark = marks.get(word[-1:])
+            stem = word[:-1] if mark else word
+            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
+                stem = stem.lower()
+                if (known := now.get(stem)) is None:
+                    known = now[stem] = self._part(stem)
+                now[word] = known + mark if mark else known
+            elif word.isprintable() and max(word, default="") < LATIN_END:
+                now[word] = b"".join([now.get(x) or now.setdefault(x, self._part(x)) for x in self.parts(word.lower())])
+            else:
+                now[word] = self._whole(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         self.memory.turn()
-        out: list[bytes] = []
-        for text in texts:
-            if not self.by_word or any(x in text for x in self.added):
-                out.append(self._whole(text))
-                continue
-            words = text.replace("\n", " ").split(" ")
-            found = list(map(self.memory.now.get, words))
-            if None in found:
-                self._learn({w for w, x in zip(words, found, strict=True) if x is None})
-                found = list(map(self.memory.now.get, words))
-            out.append(b"".join(found))
+        whole = [not self.by_word or any(x in text for x in self.added) for text in texts]
+        words: list[str] = []
+        ends = []
+        for text, w in zip(texts, whole, strict=True):
+            if not w:
+                words += text.replace("\n", " ").split(" ")
+            ends.append(len(words))
+        found = list(map(self.memory.now.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            self._learn({words[i] for i in new})
+            now = self.memory.now
+            for i in new:
+                found[i] = now[words[i]]
+        out, begin = [], 0
+        for text, w, end in zip(texts, whole, ends, strict=True):
+            out.append(self._whole(text) if w else b"".join(found[begin:end]))
+            begin = end
         return out
 
 
