@@ -14,16 +14,14 @@ def build_mosaics(pixel_rows: DataFrame, images: DataFrame, method: str = "seam"
                   strict: bool = True, size: int = tiles.TILE) -> DataFrame:
     """Mosaic pixels (ts, mosaic_row, mosaic_col, b, g, r, camera); from ortho tiles mosaic
     tiles (ts, tile_row, tile_col, height, width, data, positions).
-
-    Seams are cut on pixel rows; tiles are unpacked for them.
     """
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method!r}")
     in_tiles = "tile_row" in pixel_rows.columns
-    if in_tiles and method in mosaic.METHODS:
-        return tiles.mosaic_tiles(pixel_rows, images, method, resolution, strict, size)
-    if in_tiles:
-        pixel_rows = tiles.to_pixels(pixel_rows, size)
-    if method in mosaic.METHODS:
-        return mosaic.mosaic_priority(pixel_rows, images, method, resolution, strict)
+    if method == "seam" and in_tiles:
+        return seam.Seams(pixel_rows, images, seam_quality, resolution, strict, size).mosaic_tiles()
     if method == "seam":
-        return seam.mosaic_seam(pixel_rows, images, seam_quality, resolution, strict)
-    raise ValueError(f"unknown method: {method!r}")
+        return seam.mosaic_seam(pixel_rows, images, seam_quality, resolution, strict, size=size)
+    if in_tiles:
+        return tiles.mosaic_tiles(pixel_rows, images, method, resolution, strict, size)
+    return mosaic.mosaic_priority(pixel_rows, images, method, resolution, strict)

@@ -14,12 +14,9 @@ from orthoweave.session import work_dir
 from orthoweave.sources import files, tables
 from orthoweave.suite import views
 from orthoweave.suite.oracle_views import VIEWS, undistorted, with_views
-from orthoweave.suite.raster import _best
+from orthoweave.suite.raster import SUITE_TILE, _best, _seam_sql
 from orthoweave.suite.registry import query
 
-# Small tiles, so that the small images of the suite are cut into several.
-SUITE_TILE = 4
-
 # --- status --------------------------------------------------------------------------------
 
 
@@ -274,6 +271,15 @@ def mosaic_order(spark, sf_dir):
     return mosaics.build_mosaics(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "order")
 
 
+@query("C6_mosaic_seam", _seam_sql())
+def mosaic_seam(spark, sf_dir):
+    """The job's default method, on tiles."""
+    images = views.images(spark, sf_dir)
+    built = mosaics.build_mosaics(tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE), images, size=SUITE_TILE)
+    names = mosaic.file_positions(images).select("ts", "position", "camera")
+    return tiles.mosaic_tile_pixels(built, SUITE_TILE).join(names, ["ts", "position"]).drop("position")
+
+
 _UNDISTORTED = {
     **undistorted("select * from latest"),
     "utaps": VIEWS["taps"].replace("lmap", "umap"),

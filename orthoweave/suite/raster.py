@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orthoweave.functions import geometry, pixels
 from orthoweave.operators import dem as dem_ops
-from orthoweave.operators import mosaic, neighbourhood, remap, seam, status
+from orthoweave.operators import mosaic, neighbourhood, remap, seam, status, tile_costs, tiles
 from orthoweave.operators.matching import with_metadata
 from orthoweave.suite import views
 from orthoweave.suite.oracle_views import projected, with_views
-from orthoweave.suite.registry import query
+from orthoweave.suite.registry import ORACLES, query
+
+# sides of the suite's tiles: half an image, and less than an overlap
+SUITE_TILE, SMALL_TILE = 4, 2
 
 # --- layout --------------------------------------------------------------------------------
 
@@ -280,6 +284,37 @@ def combined_cost(spark, sf_dir):
         "ts", "camera", "row", "col", F.round("cost", 6).alias("cost"))
 
 
+def _gray_tiles(spark, sf_dir):
+    return tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
+
+
+@query("W2_sobel_gradient_tiles", ORACLES["W2_sobel_gradient"])
+def sobel_gradient_tiles(spark, sf_dir):
+    """Gradient on tiles; rims of one pixel are exchanged."""
+    found = tile_costs.sobel_tiles(_gray_tiles(spark, sf_dir), KEYS, SUITE_TILE)
+    rows = tile_costs.to_rows(found, KEYS, {"gx": T.IntegerType(), "gy": T.IntegerType(), "gradient": T.DoubleType()}, SUITE_TILE)
+    return rows.withColumn("gradient", F.round("gradient", 6))
+
+
+@query("W3_local_variance_tiles", ORACLES["W3_local_variance"])
+def local_variance_tiles(spark, sf_dir):
+    """Variance on tiles that are smaller than its window."""
+    found = tile_costs.variance_tiles(_gray_tiles(spark, sf_dir), KEYS, SUITE_TILE)
+    return tile_costs.to_rows(found, KEYS, {"variance": T.DoubleType()}, SUITE_TILE).withColumn("variance", F.round("variance", 6))
+
+
+@query("A13_region_max_tiles", ORACLES["A13_region_max"])
+def region_max_tiles(spark, sf_dir):
+    found = tile_costs.region_max_tiles(_gray_tiles(spark, sf_dir), KEYS, SUITE_TILE)
+    return found.select(*KEYS, *[F.round(c, 6).alias(c) for c in ("max_gradient", "max_variance")])
+
+
+@query("W4_combined_cost_tiles", ORACLES["W4_combined_cost"])
+def combined_cost_tiles(spark, sf_dir):
+    found = tile_costs.cost_tiles(_gray_tiles(spark, sf_dir), KEYS, SUITE_TILE, "combined")
+    return tile_costs.to_rows(found, KEYS, {"cost": T.DoubleType()}, SUITE_TILE).withColumn("cost", F.round("cost", 6))
+
+
 @query("W5_seam_boundary", with_views("px", """
     select p.ts, p.camera, p.row, p.col,
            p.b<100 and exists (select 1 from px q where q.ts=p.ts and q.camera=p.camera and q.b>=100
@@ -379,9 +414,21 @@ def seam_mask(spark, sf_dir):
         *seam.CELL, right.alias("use_new"))
 
 
-def _seam_steps(steps: int) -> dict[str, str]:
+def _cost_sql(method: str, source: str) -> str:
+    """Cost of every raster of a source (ts, camera, row, col, gray)."""
+    gradient = "gradient/(max(gradient) over i+1e-10::double)"
+    variance = "variance/(max(variance) over i+1e-10::double)"
+    cost = {"gradient": gradient, "variance": variance,
+            "combined": f"0.5::double*({gradient})+0.5::double*({variance})"}[method]
+    tables = {"gradient": [SOBEL], "variance": [VARIANCE], "combined": [SOBEL, VARIANCE]}[method]
+    joined = " join ".join(f"({t.replace(' grays ', f' {source} ')}) m{i}" for i, t in enumerate(tables))
+    using = "using (ts, camera, row, col)" if len(tables) > 1 else ""
+    return f"select ts, camera, row, col, {cost} cst from {joined} {using} window i as (partition by ts, camera)"
+
+
+def _seam_steps(steps: int, method: str = "gradient") -> dict[str, str]:
     """Views st1, st2, ...: the seam mosaic after each image of every ts; ln1, ...: its cuts."""
-    found = {**RASTER_VIEWS, "gcost": SEAM_VIEWS["gcost"]}
+    found = {**RASTER_VIEWS, "gcost": _cost_sql(method, "grays")}
     found["seqs"] = """
         select ts, camera, row_number() over (partition by ts order by x_min, file) seq from images"""
     found["st0"] = """
@@ -395,10 +442,7 @@ def _seam_steps(steps: int) -> dict[str, str]:
             from mpx m join seqs s on s.ts=m.ts and s.camera=m.camera and s.seq={k}
             join gcost g on g.ts=m.ts and g.camera=m.camera and g.row=m.rr and g.col=m.rc
             left join st{k - 1} o on o.ts=m.ts and o.mr=m.mr and o.mc=m.mc"""
-        renamed = f"(select ts, camera, rr as row, rc as col, gray from reg{k})"
-        found[f"og{k}"] = f"""
-            select ts, row, col, gradient/(max(gradient) over (partition by ts)+1e-10::double) cst
-            from ({SOBEL.replace("from grays", "from " + renamed)})"""
+        found[f"og{k}"] = _cost_sql(method, f"(select ts, camera, rr as row, rc as col, gray from reg{k})")
         found[f"cl{k}"] = f"""
             select n.ts, n.mr, n.mc, (n.cst+o.cst)/2 as cost from reg{k} n
             join og{k} o on o.ts=n.ts and o.row=n.rr and o.col=n.rc where n.ok and n.old"""
@@ -432,14 +476,36 @@ def _seam_steps(steps: int) -> dict[str, str]:
 _STEPS = 16
 
 
-@query("S2_mosaic_seam", with_views("px mpx images", f"""
-    select ts, cast(mr as int) mosaic_row, cast(mc as int) mosaic_col, b, g, r, camera from st{_STEPS}""",
-    _seam_steps(_STEPS)))
+def _seam_sql(method: str = "gradient") -> str:
+    return with_views("px mpx images", f"""
+        select ts, cast(mr as int) mosaic_row, cast(mc as int) mosaic_col, b, g, r, camera from st{_STEPS}""",
+        _seam_steps(_STEPS, method))
+
+
+@query("S2_mosaic_seam", _seam_sql())
 def mosaic_seam(spark, sf_dir):
     """Whole seam mosaic."""
     return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir))
 
 
+@query("S2_mosaic_seam_tiles", _seam_sql())
+def mosaic_seam_tiles(spark, sf_dir):
+    """Whole seam mosaic with images and overlaps cut into many tiles."""
+    return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir), size=SMALL_TILE)
+
+
+@query("S2_mosaic_seam_variance", _seam_sql("variance"))
+def mosaic_seam_variance(spark, sf_dir):
+    """Seams through even areas."""
+    return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "variance")
+
+
+@query("S2_mosaic_seam_combined", _seam_sql("combined"))
+def mosaic_seam_combined(spark, sf_dir):
+    """Seams by the mean of both costs."""
+    return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir), "combined")
+
+
 def _seam_marks(steps: int) -> str:
     """Cells left of a cut that touch a cell right of it, over all steps."""
     sides = []
@@ -458,3 +524,14 @@ def _seam_marks(steps: int) -> str:
 def seam_map(spark, sf_dir):
     """Seam boundaries of the whole seam mosaic."""
     return seam.mosaic_seam(views.pixels(spark, sf_dir), views.images(spark, sf_dir), seams=True)
+
+
+@query("S5_mosaic_with_seams", with_views("px mpx images", f"""
+    select s.ts, cast(s.mr as int) mosaic_row, cast(s.mc as int) mosaic_col, b, g, r, camera, m.ts is not null on_seam
+    from st{_STEPS} s left join ({_seam_marks(_STEPS)}) m on m.ts=s.ts and m.mr=s.mr and m.mc=s.mc""", _seam_steps(_STEPS)))
+def mosaic_with_seams(spark, sf_dir):
+    """Mosaic and seam map from the same seams."""
+    ortho = tiles.to_tiles(views.pixels(spark, sf_dir), SUITE_TILE)
+    found = seam.Seams(ortho, views.images(spark, sf_dir), size=SUITE_TILE)
+    marks = found.seam_map().withColumn("on_seam", F.lit(True))
+    return found.mosaic_rows().join(marks, seam.CELL, "left").withColumn("on_seam", F.coalesce("on_seam", F.lit(False)))
