@@ -46,8 +46,8 @@ def _schema(df: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([*[T.StructField(n, df.schema[n].dataType) for n in PAIR], *fields])
 
 
-def _table(rows: list[dict], schema: T.StructType) -> pa.Table:
-    return pa.Table.from_pylist(rows, schema=to_arrow_schema(schema))
+def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
 
 
 def _stored(df: DataFrame, path: str, *by: str) -> DataFrame:
@@ -170,6 +170,7 @@ def forward(grid: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np
 def _forward_step(blocks: DataFrame, before: DataFrame | None, step: int, size: int) -> DataFrame:
     """Sums at the right end of every block of a step."""
     schema = _schema(blocks, *_SUMS_FIELDS)
+    arrow = to_arrow_schema(schema)
     rows = _spread(blocks)
     if before is not None:
         rows = rows.unionByName(_spread(before.select(
@@ -181,7 +182,7 @@ def _forward_step(blocks: DataFrame, before: DataFrame | None, step: int, size:
         costs = [r for r in given if r["cost"] is not None]
         own = next((r for r in costs if r["own"]), None)
         if own is None:
-            return to_arrow_schema(schema).empty_table()
+            return arrow.empty_table()
         top, bottom = (tile_row - 1) * size, (tile_row + 2) * size
         edge = (own["left"] // size + step) * size
         first, last = max(own["left"], edge), min(own["right"], edge + size - 1)
@@ -195,7 +196,7 @@ def _forward_step(blocks: DataFrame, before: DataFrame | None, step: int, size:
             end = {"reach": float(done[row]), "row": tile_row * size + row}
         return _table([{
             "ts": ts, "seq": seq, "step": step, "tile_row": tile_row, "top": tile_row * size,
-            "reach": np.ascontiguousarray(done).tobytes(), "origin": origin.astype(np.int32).tobytes(), "end": end}], schema)
+            "reach": np.ascontiguousarray(done).tobytes(), "origin": origin.astype(np.int32).tobytes(), "end": end}], arrow)
 
     return rows.groupBy(*PAIR, "tile_row").applyInArrow(run, schema)
 
@@ -204,12 +205,13 @@ def _step_back(ends: DataFrame, sums: DataFrame, size: int) -> DataFrame:
     """Where paths leave the step before, from where they leave this one."""
     at = ends.withColumn("tile_row", F.expr(f"int(floor(row / {size}))"))
     schema = _schema(ends, *_fields("row"))
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _table([{
                 "ts": r["ts"], "seq": r["seq"], "row": int(np.frombuffer(r["origin"], np.int32)[r["row"] - r["top"]])}
-                for r in batch.to_pylist()], schema).to_batches()
+                for r in batch.to_pylist()], arrow).to_batches()
 
     return at.join(sums.select(*PAIR, "tile_row", "top", "origin"), [*PAIR, "tile_row"]).select(
         *PAIR, "row", "top", "origin").mapInArrow(run, schema)
@@ -218,6 +220,7 @@ def _step_back(ends: DataFrame, sums: DataFrame, size: int) -> DataFrame:
 def _trace(blocks: DataFrame, sums: DataFrame, ends: DataFrame, size: int) -> DataFrame:
     """Path cells (ts, seq, mosaic_row, mosaic_col) inside the blocks around each end."""
     schema = _schema(blocks, *_fields("mosaic_row", "mosaic_col"))
+    arrow = to_arrow_schema(schema)
     at = ends.withColumn("_home", F.expr(f"int(floor(row / {size}))"))
     near = F.abs(F.col("tile_row") - F.col("_home")) <= 1
     costs = blocks.join(at, [*PAIR, "step"]).where(near).drop("_home")
@@ -240,7 +243,6 @@ def _trace(blocks: DataFrame, sums: DataFrame, ends: DataFrame, size: int) -> Da
             row = path[c + 1]
             path[c] = row - 1 + int(reach[row - 1:row + 2, c].argmin())
         n = len(path)
-        arrow = to_arrow_schema(schema)
         return pa.table([pa.repeat(pa.scalar(ts, arrow.field("ts").type), n), pa.repeat(pa.scalar(seq, arrow.field("seq").type), n),
                          (path + top).astype(np.int32), np.arange(first, last + 1, dtype=np.int32)], schema=arrow)
 
@@ -250,13 +252,16 @@ def _trace(blocks: DataFrame, sums: DataFrame, ends: DataFrame, size: int) -> Da
 def _first_rows(blocks: DataFrame) -> DataFrame:
     """Rows (ts, seq, mosaic_row) of the overlap's first column."""
     schema = _schema(blocks, *_fields("mosaic_row"))
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for p in batch.to_pylist():
                 block = np.frombuffer(p["cost"]).reshape(p["height"], p["width"])
                 found = np.flatnonzero(np.isfinite(block[:, p["left"] - p["first_col"]])) + p["top"]
-                yield from _table([{"ts": p["ts"], "seq": p["seq"], "mosaic_row": int(r)} for r in found], schema).to_batches()
+                rows += [{"ts": p["ts"], "seq": p["seq"], "mosaic_row": r} for r in found.tolist()]
+            yield from _table(rows, arrow).to_batches()
 
     return blocks.where("left >= first_col AND left < first_col + width").mapInArrow(run, schema)
 
@@ -316,6 +321,7 @@ def seam_lines(costs: DataFrame, size: int = tiles.TILE) -> DataFrame:
         F.min("mosaic_col").alias("left"), F.max("mosaic_col").alias("right"),
         *[F.first(c).alias(c) for c in ("row_start", "col_start", "region_height")]), f"{folder}/regions")
     schema = _schema(cells, *_BLOCK_FIELDS)
+    arrow = to_arrow_schema(schema)
 
     def build(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ts, seq, tile_row, tile_col = (k.as_py() for k in key)
@@ -326,7 +332,7 @@ def seam_lines(costs: DataFrame, size: int = tiles.TILE) -> DataFrame:
         return _table([{
             "ts": ts, "seq": seq, "tile_row": tile_row, "tile_col": tile_col, "step": tile_col - left // size,
             "left": left, "right": group["right"][0].as_py(), "top": top, "first_col": first,
-            "height": block.shape[0], "width": block.shape[1], "cost": block.tobytes()}], schema)
+            "height": block.shape[0], "width": block.shape[1], "cost": block.tobytes()}], arrow)
 
     tiled = with_metadata(cells.select(*PAIR, "mosaic_row", "mosaic_col", "cost"), regions.select(*PAIR, "left", "right"), PAIR).withColumns({
         "tile_row": F.expr(f"int(mosaic_row div {size})"), "tile_col": F.expr(f"int(mosaic_col div {size})")})
@@ -356,6 +362,7 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
     region they touch. targets: (ts, camera, from_seq, from_row, from_col, seq, region)."""
     joined = with_metadata(ortho, targets, ["ts", "camera"])
     schema = _schema(joined, *_fields(*_PIECE), T.StructField("data", _BIN), T.StructField("cuts", _BIN))
+    arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,7 +370,11 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
                 block = np.frombuffer(t["data"], np.uint8).reshape(t["height"], t["width"], 3)
                 # first pixel of the tile in the mosaic
                 top, left = t["tile_row"] * size + t["from_row"], t["tile_col"] * size + t["from_col"]
-                line = None if t.get("cuts") is None else np.frombuffer(t["cuts"], np.int32)
+                line = None
+                if t["cuts"] is not None:
+                    line = np.full(size, NO_CUT, np.int32)
+                    for cut_at in t["cuts"]:
+                        line[cut_at["row"]] = cut_at["seam_col"]
                 bottom, right = t["row_start"] + t["region_height"], t["col_start"] + t["region_width"]
                 rows = []
                 for r, r0, r1 in _cuts(top, top + t["height"], t["row_start"], bottom, size, rim):
@@ -376,7 +387,7 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
                             "first_col": c0, "height": r1 - r0, "width": c1 - c0, **{n: t[n] for n in REGION}, "data": part.tobytes(),
                             "cuts": None if line is None else line[r0 - top:r1 - top].tobytes()})
                 if rows:
-                    yield from _table(rows, schema).to_batches()
+                    yield from _table(rows, arrow).to_batches()
 
     return joined.mapInArrow(cut, schema)
 
@@ -416,6 +427,7 @@ def _raw_costs(pieces: DataFrame, method: str, size: int) -> DataFrame:
     schema = _schema(
         pieces, *_fields("tile_row", "tile_col", *REGION, "top", "first_col", "height", "width", "left", "right"),
         *[T.StructField(f"max_{s}", _DOUBLE) for s in sides], *[T.StructField(s, _BIN) for s in sides], T.StructField("shared", _BIN))
+    arrow = to_arrow_schema(schema)
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ts, seq, tile_row, tile_col = (k.as_py() for k in key)
@@ -446,7 +458,7 @@ def _raw_costs(pieces: DataFrame, method: str, size: int) -> DataFrame:
                 row[f"max_{side}_{n}"] = float(values.max())
                 if some:
                     row[f"{side}_{n}"] = np.ascontiguousarray(values[part]).tobytes()
-        yield from _table([row], schema).to_batches()
+        yield from _table([row], arrow).to_batches()
 
     return pieces.groupBy(*PAIR, "tile_row", "tile_col").applyInArrow(run, schema)
 
@@ -456,11 +468,13 @@ def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> Da
     names = tile_costs.measures_of(method)
     largest = [f"max_{side}_{n}" for side in ("new", "old") for n in names]
     schema = _schema(raw, *_BLOCK_FIELDS)
+    arrow = to_arrow_schema(schema)
     rows = with_metadata(raw.where("shared IS NOT NULL").drop("left", "right", *REGION, *largest),
                          regions.select(*PAIR, "left", "right", *largest), PAIR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for t in batch.to_pylist():
                 shape = (t["height"], t["width"])
                 both = [tile_costs.weighted_cost(
@@ -468,9 +482,10 @@ def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> Da
                     for side in ("new", "old")]
                 shared = np.unpackbits(np.frombuffer(t["shared"], np.uint8), count=shape[0] * shape[1]).astype(bool).reshape(shape)
                 cost = np.where(shared, (both[0] + both[1]) / 2, np.inf)
-                yield from _table([{
+                out.append({
                     **{n: t[n] for n in (*PAIR, "tile_row", "tile_col", "left", "right", "top", "first_col", "height", "width")},
-                    "step": t["tile_col"] - t["left"] // size, "cost": cost.tobytes()}], schema).to_batches()
+                    "step": t["tile_col"] - t["left"] // size, "cost": cost.tobytes()})
+            yield from _table(out, arrow).to_batches()
 
     return rows.mapInArrow(run, schema)
 
@@ -478,20 +493,12 @@ def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> Da
 # --- the seams of all images ---------------------------------------------------------------
 
 def _line_blocks(lines: DataFrame, placed: DataFrame, size: int) -> DataFrame:
-    """(ts, camera, tile_row, cuts): the seam columns of the rows of an image's tile."""
-    schema = T.StructType([*[T.StructField(n, placed.schema[n].dataType) for n in ("ts", "camera")], *_fields("tile_row"),
-                           T.StructField("cuts", _BIN)])
-
-    def build(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        ts, camera, tile_row = (k.as_py() for k in key)
-        cuts = np.full(size, NO_CUT, np.int32)
-        cuts[group["_row"].to_numpy() - tile_row * size] = group["seam_col"].to_numpy()
-        return _table([{"ts": ts, "camera": camera, "tile_row": tile_row, "cuts": cuts.tobytes()}], schema)
-
-    own = with_metadata(lines, placed.select(*PAIR, "camera", "row_start", "src_row"), PAIR).withColumn(
-        "_row", F.col("mosaic_row") - F.col("row_start") + F.col("src_row"))
-    return own.withColumn("tile_row", F.expr(f"int(_row div {size})")).select(
-        "ts", "camera", "tile_row", "_row", "seam_col").groupBy("ts", "camera", "tile_row").applyInArrow(build, schema)
+    """(ts, camera, tile_row, cuts): the seam columns of the rows of an image's tile, `size`
+    at most."""
+    own = with_metadata(lines, placed.select(*PAIR, "camera", "row_start", "src_row"), PAIR)
+    own = own.withColumn("_row", F.col("mosaic_row") - F.col("row_start") + F.col("src_row"))
+    return own.groupBy("ts", "camera", F.expr(f"int(_row div {size})").alias("tile_row")).agg(
+        F.collect_list(F.struct((F.col("_row") % size).alias("row"), "seam_col")).alias("cuts"))
 
 
 class Seams:
@@ -527,7 +534,7 @@ class Seams:
     def _with_cuts(self, known: bool) -> DataFrame:
         """Ortho tiles with the seam columns of their rows, as far as seams are known."""
         if not known:
-            return self.ortho.withColumn("cuts", F.lit(None).cast("binary"))
+            return self.ortho.withColumn("cuts", F.lit(None).cast("array<struct<row: int, seam_col: int>>"))
         return self.ortho.join(_line_blocks(self.lines, self.placed, self.size), ["ts", "camera", "tile_row"], "left")
 
     def mosaic_tiles(self) -> DataFrame:
@@ -541,6 +548,7 @@ class Seams:
         schema = T.StructType([
             T.StructField("ts", self.placed.schema["ts"].dataType), *_fields("tile_row", "tile_col", "height", "width"),
             T.StructField("data", _BIN), T.StructField("positions", _BIN)])
+        arrow = to_arrow_schema(schema)
 
         def fold(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ts, tile_row, tile_col = (k.as_py() for k in key)
@@ -555,7 +563,7 @@ class Seams:
                 known[seq] = position
             yield from _table([{
                 "ts": ts, "tile_row": tile_row, "tile_col": tile_col, "height": size, "width": size,
-                "data": layers.pixels.tobytes(), "positions": known[layers.seq].tobytes()}], schema).to_batches()
+                "data": layers.pixels.tobytes(), "positions": known[layers.seq].tobytes()}], arrow).to_batches()
 
         return pieces.groupBy("ts", "tile_row", "tile_col").applyInArrow(fold, schema)
 

@@ -1,10 +1,12 @@
 import itertools
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_raster import IMAGE, image_row, layout, pixel_frame, random_scene, sobel
 
-from orthoweave.operators import mosaic, seam
+from orthoweave.operators import mosaic, seam, tiles
 from orthoweave.plans import mosaics
 
 
@@ -38,10 +40,10 @@ def direct_cut(cost):
 COST = "ts long, mosaic_row int, mosaic_col int, cost double, row_start int, col_start int, region_height int"
 
 
-def lines(spark, cost, first_row=0, first_col=0, height=6):
+def lines(spark, cost, first_row=0, first_col=0, height=6, size=256):
     df = spark.createDataFrame(
         [(1, r, c, float(v), first_row, first_col, height) for (r, c), v in cost.items()], COST)
-    return {r.mosaic_row: r.seam_col for r in seam.seam_lines(df).collect()}
+    return {r.mosaic_row: r.seam_col for r in seam.seam_lines(df, size).collect()}
 
 
 def block(values, row=0, col=3):
@@ -80,6 +82,61 @@ def test_random_paths_against_exhaustion(spark, seed):
     assert lines(spark, cost) == {r: 0 if c is None else c for r, c in want.items()}
 
 
+def whole_cut(cost):
+    """The same cut by plain dynamic programming, for overlaps too wide to exhaust."""
+    left, right = min(c for _, c in cost), max(c for _, c in cost)
+    rows = range(min(r for r, _ in cost) - 1, max(r for r, _ in cost) + 2)
+    reach = {(r, left): cost[(r, left)] for r in rows if (r, left) in cost}
+    for c in range(left + 1, right + 1):
+        for r in rows:
+            near = [reach[(q, c - 1)] for q in (r - 1, r, r + 1) if (q, c - 1) in reach]
+            if (r, c) in cost and near:
+                reach[(r, c)] = min(near) + cost[(r, c)]
+    at = min(((reach[(r, right)], r) for r in rows if (r, right) in reach), default=(None, None))[1]
+    if at is None:
+        return (left + right) // 2
+    cut = {at: right}
+    for c in range(right - 1, left - 1, -1):
+        at = min((reach[(q, c)], q) for q in (at - 1, at, at + 1) if (q, c) in reach)[1]
+        cut[at] = c
+    return {r: cut.get(r) for r in rows if (r, left) in cost}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_blocked_paths_against_whole_ones(spark, seed):
+    """Overlaps of many blocks in both directions, ties and holes included."""
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 4, (23, 19)) if seed % 2 else rng.random((23, 19))
+    share = 0.97 if seed < 4 else 0.55
+    cost = {k: float(v) for k, v in block(values, row=5, col=7).items() if rng.random() < share}
+    want = whole_cut(cost)
+    if isinstance(want, int):
+        want = {r: want for r in range(3, 33)}
+    for size in (2, 7) if seed < 2 else (5,):
+        assert lines(spark, cost, 3, 2, 30, size) == {r: 2 if c is None else c for r, c in want.items()}
+
+
+def test_waves(spark):
+    """Pairwise overlaps are one wave; an image waits only where three images meet."""
+    rows = [image_row(1, f"c{i}", col, 0, 8, 8) for i, col in enumerate((0, 5, 10, 15))]
+    rows += [image_row(2, f"c{i}", col, 0, 8, 8) for i, col in enumerate((0, 3, 6, 9))]
+    rows += [image_row(3, f"c{i}", col, 0, 4, 4) for i, col in enumerate((0, 4, 9))]
+    placed = seam.seam_waves(mosaic.left_to_right(mosaic.place_images(spark.createDataFrame(rows, IMAGE))))
+    found = {(r.ts, r.camera): (r.wave, r.olds) for r in placed.collect()}
+    assert [found[1, f"c{i}"] for i in range(4)] == [(0, []), (1, [1]), (1, [2]), (1, [3])]
+    assert [found[2, f"c{i}"] for i in range(4)] == [(0, []), (1, [1]), (2, [1, 2]), (3, [2, 3])]
+    assert all(found[3, f"c{i}"] == (0, []) for i in range(3))
+
+
+def test_no_task_holds_a_timestamp(spark):
+    """No shuffle of the cost and path steps has ts, or ts and image, as its whole key."""
+    cost = spark.createDataFrame([(1, 0, 0, 1.0, 0, 0, 1)], COST).withColumn("seq", F.lit(0))
+    blocks = cost.select("ts", "seq", *[F.lit(0).alias(n) for n in seam._PLACE], F.lit(b"").alias("cost"))
+    plan = seam._forward_step(blocks, None, 0, 4)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)
+    assert keys and all("tile_row" in k for k in keys)
+
+
 def direct_mosaic(arrays, rows, ts):
     """Seam mosaic and seam map of one ts, image by image on plain arrays."""
     own = layout(rows, ts)
@@ -94,7 +151,7 @@ def direct_mosaic(arrays, rows, ts):
         if shared.any():
             costs = [g / (g.max() + 1e-10) for g in (sobel(gray(new)), sobel(gray(old)))]
             mean = (costs[0] + costs[1]) / 2
-            cut = direct_cut({(r, c): mean[r, c] for r, c in zip(*np.nonzero(shared))})
+            cut = whole_cut({(r, c): mean[r, c] for r, c in zip(*np.nonzero(shared))})
             mask = np.zeros((h, w), bool)
             for r in range(h):
                 if isinstance(cut, int):
@@ -109,12 +166,15 @@ def direct_mosaic(arrays, rows, ts):
     return out, marks
 
 
-@pytest.mark.parametrize("seed", [21, 22])
-def test_seam_mosaic_against_direct_evaluation(spark, seed):
-    arrays, rows = random_scene(seed, 4)
+@pytest.mark.parametrize("seed, size", [(21, 256), (22, 3)])
+def test_seam_mosaic_against_direct_evaluation(spark, seed, size):
+    arrays, rows = random_scene(seed, 5)
     px, images = pixel_frame(spark, arrays), spark.createDataFrame(rows, IMAGE)
-    found = mosaics.build_mosaics(px, images, "seam").collect()
-    marks = {tuple(r) for r in seam.mosaic_seam(px, images, seams=True).collect()}
+    seams = seam.Seams(tiles.to_tiles(px, size), images, size=size)
+    assert seams.placed.agg(F.max("wave")).first()[0] > 1
+    found = seams.mosaic_rows().collect()
+    marks = {tuple(r) for r in seams.seam_map().collect()}
+    assert sorted(map(tuple, mosaics.build_mosaics(px, images, "seam").collect())) == sorted(map(tuple, found))
     for ts in (1, 2):
         want, want_marks = direct_mosaic(arrays, rows, ts)
         got = np.zeros_like(want)
