@@ -37,6 +37,10 @@ PAIR = ["ts", "seq"]
 _INT, _BIN, _DOUBLE = T.IntegerType(), T.BinaryType(), T.DoubleType()
 
 
+#: Bytes of pixels that go out together.
+OUT_BYTES = 4 << 20
+
+
 def _fields(*names: str, kind: T.DataType = _INT) -> list[T.StructField]:
     return [T.StructField(n, kind) for n in names]
 
@@ -101,22 +105,23 @@ def seam_waves(placed: DataFrame) -> DataFrame:
 
 # --- lines from blocks of cost -------------------------------------------------------------
 #
-# Cost blocks are rows (ts, seq, tile_row, tile_col, step, left, right, top, first_col,
-# height, width, cost): a part of a mosaic tile, infinite where the images do not overlap.
-# left and right are the first and last column of the overlap, step counts its columns of
-# tiles. Row numbers are those of the mosaic.
+# Cost blocks are rows (ts, seq, tile_row, tile_col, step, left, right, low, high, top,
+# first_col, height, width, cost): a part of a mosaic tile, infinite where the images do not
+# overlap. left and right are the first and last column of the overlap, low and high its first
+# and last row of tiles, step counts its columns of tiles. Rows are those of the mosaic.
 
-_PLACE = ("tile_row", "tile_col", "step", "left", "right", "top", "first_col", "height", "width")
+_EXTENT = ("left", "right", "low", "high")
+_PLACE = ("tile_row", "tile_col", "step", *_EXTENT, "top", "first_col", "height", "width")
 _BLOCK_FIELDS = [*_fields(*_PLACE), T.StructField("cost", _BIN)]
-_SUMS_FIELDS = [*_fields("step", "tile_row", "top"), T.StructField("reach", _BIN), T.StructField("origin", _BIN),
+_SUMS_FIELDS = [*_fields("step", "tile_row", "low", "high", "top"), T.StructField("reach", _BIN), T.StructField("origin", _BIN),
                 T.StructField("end", T.StructType([T.StructField("reach", _DOUBLE), T.StructField("row", _INT)]))]
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Every row to the blocks above, at and below its own; `own` marks the last."""
-    to = F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)])).alias("_d")
-    return df.select("*", to).withColumn("tile_row", F.col("tile_row") + F.col("_d")).withColumn(
-        "own", F.col("_d") == 0).drop("_d")
+    """Every row to the blocks above, at and below its own, as far as the overlap has them;
+    `own` marks the block itself."""
+    to = F.explode(F.expr("sequence(greatest(tile_row - 1, low), least(tile_row + 1, high))")).alias("_to")
+    return df.select("*", to).withColumn("own", F.col("tile_row") == F.col("_to")).withColumn("tile_row", F.col("_to")).drop("_to")
 
 
 def _canvas(parts: list[dict], top: int, bottom: int, first: int, last: int) -> np.ndarray:
@@ -174,7 +179,7 @@ def _forward_step(blocks: DataFrame, before: DataFrame | None, step: int, size:
     rows = _spread(blocks)
     if before is not None:
         rows = rows.unionByName(_spread(before.select(
-            *PAIR, "tile_row", F.col("top").alias("sums_top"), "reach")), allowMissingColumns=True)
+            *PAIR, "tile_row", "low", "high", F.col("top").alias("sums_top"), "reach")), allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ts, seq, tile_row = (k.as_py() for k in key)
@@ -195,10 +200,10 @@ def _forward_step(blocks: DataFrame, before: DataFrame | None, step: int, size:
             row = int(done.argmin())
             end = {"reach": float(done[row]), "row": tile_row * size + row}
         return _table([{
-            "ts": ts, "seq": seq, "step": step, "tile_row": tile_row, "top": tile_row * size,
+            "ts": ts, "seq": seq, "step": step, "tile_row": tile_row, "low": own["low"], "high": own["high"], "top": tile_row * size,
             "reach": np.ascontiguousarray(done).tobytes(), "origin": origin.astype(np.int32).tobytes(), "end": end}], arrow)
 
-    return rows.groupBy(*PAIR, "tile_row").applyInArrow(run, schema)
+    return tiles.by_key(rows, *PAIR, "tile_row").applyInArrow(run, schema)
 
 
 def _step_back(ends: DataFrame, sums: DataFrame, size: int) -> DataFrame:
@@ -217,15 +222,16 @@ def _step_back(ends: DataFrame, sums: DataFrame, size: int) -> DataFrame:
         *PAIR, "row", "top", "origin").mapInArrow(run, schema)
 
 
-def _trace(blocks: DataFrame, sums: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+def _trace(blocks: DataFrame, sums: DataFrame | None, ends: DataFrame, size: int) -> DataFrame:
     """Path cells (ts, seq, mosaic_row, mosaic_col) inside the blocks around each end."""
     schema = _schema(blocks, *_fields("mosaic_row", "mosaic_col"))
     arrow = to_arrow_schema(schema)
     at = ends.withColumn("_home", F.expr(f"int(floor(row / {size}))"))
     near = F.abs(F.col("tile_row") - F.col("_home")) <= 1
-    costs = blocks.join(at, [*PAIR, "step"]).where(near).drop("_home")
-    before = sums.select(*PAIR, (F.col("step") + 1).alias("step"), "tile_row", F.col("top").alias("sums_top"), "reach")
-    rows = costs.unionByName(before.join(at, [*PAIR, "step"]).where(near).drop("_home"), allowMissingColumns=True)
+    rows = blocks.join(at, [*PAIR, "step"]).where(near).drop("_home")
+    if sums is not None:
+        before = sums.select(*PAIR, (F.col("step") + 1).alias("step"), "tile_row", F.col("top").alias("sums_top"), "reach")
+        rows = rows.unionByName(before.join(at, [*PAIR, "step"]).where(near).drop("_home"), allowMissingColumns=True)
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ts, seq, step = (k.as_py() for k in key)
@@ -246,7 +252,7 @@ def _trace(blocks: DataFrame, sums: DataFrame, ends: DataFrame, size: int) -> Da
         return pa.table([pa.repeat(pa.scalar(ts, arrow.field("ts").type), n), pa.repeat(pa.scalar(seq, arrow.field("seq").type), n),
                          (path + top).astype(np.int32), np.arange(first, last + 1, dtype=np.int32)], schema=arrow)
 
-    return rows.groupBy(*PAIR, "step").applyInArrow(run, schema)
+    return tiles.by_key(rows, *PAIR, "step").applyInArrow(run, schema)
 
 
 def _first_rows(blocks: DataFrame) -> DataFrame:
@@ -269,8 +275,8 @@ def _first_rows(blocks: DataFrame) -> DataFrame:
 def lines_of_blocks(blocks: DataFrame, regions: DataFrame, folder: str, size: int) -> DataFrame:
     """Rows (ts, seq, mosaic_row, seam_col) from cost blocks stored by step.
 
-    regions: (ts, seq, row_start, col_start, region_height, left, right) of every image with
-    an overlap. A row of the overlap's first column that the path misses is cut at the start
+    regions: (ts, seq, row_start, col_start, region_height, left, right, low, high) of every
+    image with an overlap. A row of the overlap's first column that the path misses is cut at the start
     of the image; a row without that column keeps the mosaic; without a path the cut is at
     the middle column. One job per column of tiles of the widest overlap, and one back.
     """
@@ -298,12 +304,14 @@ def lines_of_blocks(blocks: DataFrame, regions: DataFrame, folder: str, size: in
         ends = found[0]
         for f in found[1:]:
             ends = ends.unionByName(f)
-    path = _trace(blocks, sums, ends, size)
-    leftmost = path.groupBy(*PAIR, "mosaic_row").agg(F.min("mosaic_col").alias("_cut"))
-    cut = _first_rows(blocks.where("step = 0")).join(last.select(*PAIR), PAIR, "left_semi").join(leftmost, [*PAIR, "mosaic_row"], "left")
-    cut = with_metadata(cut, regions.select(*PAIR, "col_start"), PAIR).select(
+    path = _trace(blocks, sums if steps > 1 else None, ends, size)
+    rows = path.select(*PAIR, "mosaic_row", F.col("mosaic_col").alias("_cut"), F.lit(False).alias("_first")).unionByName(
+        _first_rows(blocks.where("step = 0")).select(*PAIR, "mosaic_row", F.lit(None).cast("int").alias("_cut"), F.lit(True).alias("_first")))
+    rows = rows.groupBy(*PAIR, "mosaic_row").agg(F.min("_cut").alias("_cut"), F.max("_first").alias("_first")).where("_first")
+    known = regions.join(last.select(*PAIR, F.lit(True).alias("_path")), PAIR, "left")
+    cut = with_metadata(rows, known.where("_path").select(*PAIR, "col_start"), PAIR).select(
         *PAIR, "mosaic_row", F.coalesce("_cut", "col_start").alias("seam_col"))
-    middle = regions.join(last.select(*PAIR), PAIR, "left_anti").select(
+    middle = known.where("_path IS NULL").select(
         *PAIR, F.explode(F.expr("sequence(row_start, row_start + region_height - 1)")).alias("mosaic_row"),
         F.expr("int((left + right) div 2)").alias("seam_col"))
     return cut.unionByName(middle)
@@ -319,6 +327,7 @@ def seam_lines(costs: DataFrame, size: int = tiles.TILE) -> DataFrame:
     cells = costs.withColumn("seq", F.lit(0))
     regions = _stored(cells.groupBy(*PAIR).agg(
         F.min("mosaic_col").alias("left"), F.max("mosaic_col").alias("right"),
+        F.expr(f"int(min(mosaic_row) div {size})").alias("low"), F.expr(f"int(max(mosaic_row) div {size})").alias("high"),
         *[F.first(c).alias(c) for c in ("row_start", "col_start", "region_height")]), f"{folder}/regions")
     schema = _schema(cells, *_BLOCK_FIELDS)
     arrow = to_arrow_schema(schema)
@@ -326,17 +335,18 @@ def seam_lines(costs: DataFrame, size: int = tiles.TILE) -> DataFrame:
     def build(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         ts, seq, tile_row, tile_col = (k.as_py() for k in key)
         rows, cols = group["mosaic_row"].to_numpy(), group["mosaic_col"].to_numpy()
-        top, first, left = int(rows.min()), int(cols.min()), group["left"][0].as_py()
+        extent = {n: group[n][0].as_py() for n in _EXTENT}
+        top, first = int(rows.min()), int(cols.min())
         block = np.full((int(rows.max()) - top + 1, int(cols.max()) - first + 1), np.inf)
         block[rows - top, cols - first] = group["cost"].to_numpy()
         return _table([{
-            "ts": ts, "seq": seq, "tile_row": tile_row, "tile_col": tile_col, "step": tile_col - left // size,
-            "left": left, "right": group["right"][0].as_py(), "top": top, "first_col": first,
+            "ts": ts, "seq": seq, "tile_row": tile_row, "tile_col": tile_col, "step": tile_col - extent["left"] // size,
+            **extent, "top": top, "first_col": first,
             "height": block.shape[0], "width": block.shape[1], "cost": block.tobytes()}], arrow)
 
-    tiled = with_metadata(cells.select(*PAIR, "mosaic_row", "mosaic_col", "cost"), regions.select(*PAIR, "left", "right"), PAIR).withColumns({
+    tiled = with_metadata(cells.select(*PAIR, "mosaic_row", "mosaic_col", "cost"), regions.select(*PAIR, *_EXTENT), PAIR).withColumns({
         "tile_row": F.expr(f"int(mosaic_row div {size})"), "tile_col": F.expr(f"int(mosaic_col div {size})")})
-    blocks = _stored(tiled.groupBy(*PAIR, "tile_row", "tile_col").applyInArrow(build, schema), f"{folder}/blocks", "step")
+    blocks = _stored(tiles.by_key(tiled, *PAIR, "tile_row", "tile_col").applyInArrow(build, schema), f"{folder}/blocks", "step")
     return lines_of_blocks(blocks, regions, folder, size).drop("seq")
 
 
@@ -365,6 +375,7 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
     arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
             for t in batch.to_pylist():
                 block = np.frombuffer(t["data"], np.uint8).reshape(t["height"], t["width"], 3)
@@ -376,7 +387,6 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
                     for cut_at in t["cuts"]:
                         line[cut_at["row"]] = cut_at["seam_col"]
                 bottom, right = t["row_start"] + t["region_height"], t["col_start"] + t["region_width"]
-                rows = []
                 for r, r0, r1 in _cuts(top, top + t["height"], t["row_start"], bottom, size, rim):
                     for c, c0, c1 in _cuts(left, left + t["width"], t["col_start"], right, size, rim):
                         part = block[r0 - top:r1 - top, c0 - left:c1 - left]
@@ -386,8 +396,12 @@ def _region_pieces(ortho: DataFrame, targets: DataFrame, rim: int, size: int) ->
                             "ts": t["ts"], "seq": t["seq"], "tile_row": r, "tile_col": c, "from_seq": t["from_seq"], "top": r0,
                             "first_col": c0, "height": r1 - r0, "width": c1 - c0, **{n: t[n] for n in REGION}, "data": part.tobytes(),
                             "cuts": None if line is None else line[r0 - top:r1 - top].tobytes()})
-                if rows:
+                        held += part.size
+                if held >= OUT_BYTES:
                     yield from _table(rows, arrow).to_batches()
+                    rows, held = [], 0
+        if rows:
+            yield from _table(rows, arrow).to_batches()
 
     return joined.mapInArrow(cut, schema)
 
@@ -460,7 +474,7 @@ def _raw_costs(pieces: DataFrame, method: str, size: int) -> DataFrame:
                     row[f"{side}_{n}"] = np.ascontiguousarray(values[part]).tobytes()
         yield from _table([row], arrow).to_batches()
 
-    return pieces.groupBy(*PAIR, "tile_row", "tile_col").applyInArrow(run, schema)
+    return tiles.by_key(pieces, *PAIR, "tile_row", "tile_col").applyInArrow(run, schema)
 
 
 def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> DataFrame:
@@ -470,7 +484,7 @@ def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> Da
     schema = _schema(raw, *_BLOCK_FIELDS)
     arrow = to_arrow_schema(schema)
     rows = with_metadata(raw.where("shared IS NOT NULL").drop("left", "right", *REGION, *largest),
-                         regions.select(*PAIR, "left", "right", *largest), PAIR)
+                         regions.select(*PAIR, *_EXTENT, *largest), PAIR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -483,7 +497,7 @@ def _blocks_of(raw: DataFrame, regions: DataFrame, method: str, size: int) -> Da
                 shared = np.unpackbits(np.frombuffer(t["shared"], np.uint8), count=shape[0] * shape[1]).astype(bool).reshape(shape)
                 cost = np.where(shared, (both[0] + both[1]) / 2, np.inf)
                 out.append({
-                    **{n: t[n] for n in (*PAIR, "tile_row", "tile_col", "left", "right", "top", "first_col", "height", "width")},
+                    **{n: t[n] for n in (*PAIR, "tile_row", "tile_col", *_EXTENT, "top", "first_col", "height", "width")},
                     "step": t["tile_col"] - t["left"] // size, "cost": cost.tobytes()})
             yield from _table(out, arrow).to_batches()
 
@@ -523,8 +537,10 @@ class Seams:
             pieces = _region_pieces(self._with_cuts(wave > 1), targets, tile_costs.rim_of(method), size)
             raw = _stored(_raw_costs(pieces, method, size), f"{folder}/raw/{wave}")
             largest = [f"max_{side}_{n}" for side in ("new", "old") for n in names]
+            shared_row = F.when(F.col("left").isNotNull(), F.col("tile_row"))
             regions = _stored(raw.groupBy(*PAIR).agg(
-                F.min("left").alias("left"), F.max("right").alias("right"), *[F.first(c).alias(c) for c in REGION],
+                F.min("left").alias("left"), F.max("right").alias("right"), F.min(shared_row).alias("low"), F.max(shared_row).alias("high"),
+                *[F.first(c).alias(c) for c in REGION],
                 *[F.max(c).alias(c) for c in largest]).where("left IS NOT NULL"), f"{folder}/regions/{wave}")
             blocks = _stored(_blocks_of(raw, regions, method, size), f"{folder}/blocks/{wave}", "step")
             found = lines_of_blocks(blocks, regions, f"{folder}/paths/{wave}", size)
@@ -565,7 +581,7 @@ class Seams:
                 "ts": ts, "tile_row": tile_row, "tile_col": tile_col, "height": size, "width": size,
                 "data": layers.pixels.tobytes(), "positions": known[layers.seq].tobytes()}], arrow).to_batches()
 
-        return pieces.groupBy("ts", "tile_row", "tile_col").applyInArrow(fold, schema)
+        return tiles.by_key(pieces, "ts", "tile_row", "tile_col").applyInArrow(fold, schema)
 
     def mosaic_rows(self) -> DataFrame:
         """Mosaic pixels (ts, mosaic_row, mosaic_col, b, g, r, camera)."""

@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from orthoweave.functions.pixels import GRAY_WEIGHTS
 from orthoweave.operators.matching import with_metadata
 from orthoweave.operators.neighbourhood import COST_METHODS, NORM_GUARD, VARIANCE_SIDE
+from orthoweave.operators.tiles import by_key
 
 GRADIENT_RIM, VARIANCE_RIM = 1, VARIANCE_SIDE // 2
 #: Largest values of a raster, by measure.
@@ -178,7 +179,8 @@ def _exchange(tiles: DataFrame, keys: list[str], rim: int, size: int, fields: li
             **kernel(tile, _with_rim(tile, others, rim, size))} for tile in own.to_pylist()], schema=arrow)
 
     place = [*keys, "tile_row", "tile_col"]
-    return tiles.groupBy(*place).cogroup(send_rims(tiles, keys, rim, size).groupBy(*place)).applyInArrow(run, schema)
+    strips = by_key(send_rims(tiles, keys, rim, size), *place)
+    return tiles.groupBy(*place).cogroup(strips).applyInArrow(run, schema)
 
 
 # --- operators -----------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,6 +47,12 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def by_key(df: DataFrame, *keys: str) -> GroupedData:
+    """Groups whose work is in NumPy. Rows are dealt to as many tasks as the session has
+    shuffle partitions: Spark would merge partitions by their bytes, which say little here."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
+
+
 # --- conversion ----------------------------------------------------------------------------
 
 def to_tiles(pixel_rows: DataFrame, size: int = TILE) -> DataFrame:
@@ -68,7 +74,7 @@ def to_tiles(pixel_rows: DataFrame, size: int = TILE) -> DataFrame:
     placed = pixel_rows.select(
         "ts", "camera", F.floor(F.col("row") / size).cast("int").alias("tile_row"),
         F.floor(F.col("col") / size).cast("int").alias("tile_col"), "row", "col", "b", "g", "r")
-    return placed.groupBy("ts", "camera", "tile_row", "tile_col").applyInArrow(build, schema)
+    return by_key(placed, "ts", "camera", "tile_row", "tile_col").applyInArrow(build, schema)
 
 
 def _pixels_of(tile: dict, size: int) -> np.ndarray:
@@ -126,7 +132,7 @@ def map_tiles(ortho_map: DataFrame, size: int = TILE) -> DataFrame:
         "camera", F.floor(F.col("row") / size).cast("int").alias("tile_row"),
         F.floor(F.col("col") / size).cast("int").alias("tile_col"),
         "row", "col", "src_x", "src_y", "image_height", "image_width")
-    return placed.groupBy("camera", "tile_row", "tile_col").applyInArrow(build, schema)
+    return by_key(placed, "camera", "tile_row", "tile_col").applyInArrow(build, schema)
 
 
 # --- gather --------------------------------------------------------------------------------
@@ -238,7 +244,7 @@ def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | Non
     keys = ["camera", "tile_row", "tile_col", "block"]
     # a column of its own: both sides of the cogroup come from the same image list
     repeated = lookup.join(times.withColumn("block", F.col("block") + 0), "camera")
-    return sources.groupBy(*keys).cogroup(repeated.groupBy(*keys)).applyInArrow(gather, schema)
+    return by_key(sources, *keys).cogroup(by_key(repeated, *keys)).applyInArrow(gather, schema)
 
 
 # --- mosaic --------------------------------------------------------------------------------
@@ -339,7 +345,7 @@ def mosaic_tiles(ortho_tiles: DataFrame, images: DataFrame, method: str = "cente
             "data": pixels.tobytes(), "positions": positions.tobytes()}]).to_batches()
 
     pieces = _mosaic_pieces(ortho_tiles, placed, size)
-    return pieces.groupBy("ts", "tile_row", "tile_col").applyInArrow(fold, schema)
+    return by_key(pieces, "ts", "tile_row", "tile_col").applyInArrow(fold, schema)
 
 
 def mosaic_tile_pixels(tiles: DataFrame, size: int = TILE) -> DataFrame:
