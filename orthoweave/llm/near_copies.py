@@ -1,8 +1,17 @@
-"""Near copies of documents by Jaccard similarity of their 5-word shingles.
-
-Minima of a document's shingle hashes form keys of four; documents that share one of 20
-keys are candidates, and a candidate counts if the shingle sets agree to 80 % or more.
-At that similarity the keys miss about one pair in 40,000, if minima were independent.
+"""Near copies of documents: SimHash and minima propose, shingle sets decide.
+
+A document is its set of 5-word shingles. Candidates are documents whose SimHashes are at
+most four bits apart, found by the deletion variants of :mod:`simhash`, and documents that
+share one of 20 keys of four minima of hashed shingles; at a Jaccard similarity of 0.8 the
+keys miss about one pair in 40,000, if minima were independent. A pair counts if its sets
+agree to 80 % or more, and groups are joined over chains of such pairs.
+
+A key that many documents share is a crowd: thousands of copies of one text, or a passage
+in many texts. There, the shingles that no other member of a crowd has are counted first.
+They bound the similarity of a pair exactly, so documents that only share a passage are
+never a pair, and they point to the original: the member with the fewest is compared with
+all others. Only pairs that are not connected by then and still within the bound are
+compared one by one.
 """
 
 from __future__ import annotations
@@ -14,11 +23,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orthoweave.llm.common import linked, materialise
+from orthoweave.llm import simhash
+from orthoweave.llm.common import connected_components, materialise
 
 WIDTH, SIMILARITY_PERCENT = 5, 80
 KEYS, KEY_MINIMA = 20, 4
+#: A key with more documents is a crowd. Others are compared pair by pair.
+CROWD = 32
 SEED = 42
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -37,17 +50,24 @@ def keys(hashes: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], np.uint64).view(np.int64)
 
 
+_SKETCH = [T.StructField("vertex", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.LongType()),
+           T.StructField("keys", T.ArrayType(T.LongType()))]
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the hash of their set, its size, its SimHash and its keys."""
     for batch in batches:
-        vertex, mark, found = [], [], []
-        for text in batch.column(2):
+        vertex, n, prints, found = [], [], [], []
+        for text in batch.column(1):
             hashes = shingles(text.as_py())
             vertex.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
-            mark.append(len(hashes))
+            n.append(len(hashes))
+            prints.append(simhash.majority(hashes))
             found.append(keys(hashes))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(vertex, pa.int64()), pa.array(mark, pa.int64()),
-             pa.array(found, pa.list_(pa.int64()))], ["doc_id", "text_key", "vertex", "mark", "keys"])
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array(vertex, pa.int64()), pa.array(n, pa.int64()),
+            pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))],
+            ["_in", "_text", *[f.name for f in _SKETCH]])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,42 +76,103 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["vertex", "shingles"])
 
 
-def _near(p: Column, q: Column) -> Column:
-    return F.least(p, q) * 100 >= F.greatest(p, q) * SIMILARITY_PERCENT
+def _within(p: str, q: str) -> Column:
+    """Whether two sets can reach the similarity: what they share is at most what either
+    has besides its own shingles (rows n, own)."""
+    most = F.least(F.col(f"{p}.n") - F.col(f"{p}.own"), F.col(f"{q}.n") - F.col(f"{q}.own"))
+    return most * 100 >= (F.col(f"{p}.n") + F.col(f"{q}.n") - most) * SIMILARITY_PERCENT
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the rows (vertex, n, own, bucket) that share a bucket."""
+    p, q = rows.alias("p"), rows.alias("q")
+    met = (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.vertex") < F.col("q.vertex")) & _within("p", "q")
+    return p.join(q, met).select(F.col("p.vertex").alias("a"), F.col("q.vertex").alias("b"))
+
+
+def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+
+def _by_simhash(distinct: DataFrame) -> DataFrame:
+    """Candidates whose SimHashes are close: through one set of each SimHash."""
+    first = distinct.groupBy("fp").agg(F.min("vertex").alias("first"))
+    near = simhash.links(first.select("fp"))
+    near = near.join(first.toDF("a", "first_a"), "a").join(first.toDF("b", "first_b"), "b")
+    return _ordered(distinct.join(first, "fp"), "vertex", "first").unionByName(_ordered(near, "first_a", "first_b"))
+
+
+def roots(distinct: DataFrame, sets_of) -> DataFrame:
+    """(vertex, root) of the sets that have a near copy, from rows (vertex, n, fp, keys);
+    sets_of gives (vertex, shingles) for a table of vertices."""
+    keyed = distinct.select("vertex", "n", F.explode("keys").alias("bucket"))
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = materialise(keyed.join(sizes, "bucket").withColumn("own", F.lit(0).cast("long")), "near-shared")
+    by_print = materialise(_by_simhash(distinct), "near-prints")
+    involved = shared.select("vertex").union(by_print.select("a")).union(by_print.select("b")).distinct()
+    sets = materialise(sets_of(involved), "near-sets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        every = F.size("set_a") + F.size("set_b") - common
+        return both.where(common * 100 >= every * SIMILARITY_PERCENT).select("a", "b")
+
+    crowds = shared.where(F.col("members") > CROWD)
+    members = crowds.select("vertex").distinct()
+    held = sets.join(members, "vertex", "left_semi").select("vertex", F.explode("shingles").alias("shingle"))
+    alone = held.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("vertex").alias("vertex")).where("holders = 1")
+    alone = alone.groupBy("vertex").agg(F.count("*").alias("_own"))
+    crowds = materialise(crowds.join(alone, "vertex", "left").select(
+        "vertex", "n", "bucket", F.coalesce("_own", F.lit(0)).cast("long").alias("own")), "near-crowds")
+    original = crowds.groupBy("bucket").agg(F.min(F.struct("own", "vertex", "n")).alias("q"), F.min("n").alias("least"))
+    stars = crowds.join(original, "bucket").select("q", F.struct("vertex", "n", "own").alias("p")).where(_within("p", "q"))
+    stars = _ordered(stars, "p.vertex", "q.vertex")
+
+    few = _pairs(shared.where(F.col("members") <= CROWD))
+    tried = materialise(few.union(stars).union(by_print).distinct(), "near-tried")
+    first = materialise(verified(tried), "near-first")
+    linked = materialise(connected_components(first, "a", "b", "near-edges"), "near-roots")
+    home = original.select("bucket", "least", F.col("q.vertex").alias("vertex")).join(linked, "vertex", "left").select(
+        "bucket", "least", F.coalesce("root", "vertex").alias("home"))
+    named = crowds.join(linked, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).join(home, "bucket")
+    # members outside the original's group that are within the bound of the smallest member at least
+    outside = (F.col("root") != F.col("home")) & (9 * (F.col("n") - F.col("own")) - 4 * F.col("n") >= 4 * F.col("least"))
+    p, q = named.where(outside).alias("p"), named.alias("q")
+    rest = p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.root") != F.col("q.root")) & _within("p", "q")).select(
+        F.col("p.vertex").alias("p"), F.col("q.vertex").alias("q"))
+    rest = _ordered(rest, "p", "q").distinct()
+    # pairs already refused need no second comparison
+    rest = materialise(verified(rest.join(tried, ["a", "b"], "left_anti")), "near-rest")
+    return connected_components(first.union(rest), "a", "b", "near-edges")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The input rows with one document left of each group of near copies, joined over
-    chains of them: its smallest id. Texts without words are copies of each other. Rows
-    with a null id cannot be told apart and stay; other columns pass through."""
-    texts = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key"),
-        docs["text"].cast("string").alias("text"))
-    each = materialise(texts.mapInArrow(
-        _sketches, "doc_id long, text_key long, vertex long, mark long, keys array<long>"), "near-sketches")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    """The input rows with one row left of each group of near copies, joined over chains of
+    them: the row with the smallest id, null ids last, ties to the row stored first.
+
+    Decides on rows, not ids: repeated rows, and rows that share an id or have none, are
+    copies where their texts are and stay where they are not. Texts without words are copies
+    of each other; a text shorter than a shingle is one shingle. All columns pass through,
+    whatever their names; an empty table stays empty.
+    """
+    packed = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_in"),
+                         docs["text"].cast("string").alias("_text"))
+    each = packed.mapInArrow(_sketches, T.StructType([*packed.schema.fields, *_SKETCH]))
+    each = materialise(each.withColumn("_nth", F.monotonically_increasing_id()), "near-rows")
+    doc_id = F.col(f"_in.c{docs.columns.index('doc_id')}").cast("long")
+    place = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), F.col("_nth").alias("nth"))
     distinct = materialise(each.groupBy("vertex").agg(
-        F.min(place).alias("place"), F.first("mark").alias("mark"), F.first("keys").alias("keys")), "near-distinct")
-
-    def prepare(crowded: DataFrame):
-        # one text of each set, and of those only that share a key with another
-        own = distinct.join(crowded, "vertex", "left_semi").select(
-            "vertex", F.col("place.doc_id").alias("_id"), F.col("place.text_key").alias("_key"))
-        own = texts.join(own, texts["doc_id"].eqNullSafe(own["_id"]) & (texts["text_key"] == own["_key"]))
-        sets = materialise(own.select("vertex", "text").dropDuplicates(["vertex"]).mapInArrow(
-            _sets, "vertex long, shingles array<long>"), "near-sets")
-
-        def verified(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-            common = F.size(F.array_intersect("set_a", "set_b"))
-            every = F.size("set_a") + F.size("set_b") - common
-            return both.where(common * 100 >= every * SIMILARITY_PERCENT).select("a", "b")
-        return verified
-
-    keyed = distinct.select("vertex", "mark", F.explode("keys").alias("bucket"))
-    roots = linked(keyed, _near, prepare, "near")
-    groups = distinct.select("vertex", F.col("place.doc_id").alias("least")).join(roots, "vertex", "left")
-    first = groups.groupBy(F.coalesce("root", "vertex").alias("root")).agg(F.min("least").alias("_first"))
-    first = first.select("_first").where("_first is not null").distinct()
-    return docs.join(first, docs["doc_id"] == first["_first"], "left_semi").unionByName(
-        docs.where(docs["doc_id"].isNull()))
+        F.min(place).alias("place"), *[F.first(c).alias(c) for c in ("n", "fp", "keys")]), "near-distinct")
+
+    def sets_of(vertices: DataFrame) -> DataFrame:
+        # one text of each set, and of those only that are a candidate
+        own = distinct.join(vertices, "vertex", "left_semi").select("vertex", F.col("place.nth").alias("_own"))
+        return each.select("_nth", "_text").join(own, F.col("_nth") == F.col("_own")).select("vertex", "_text").mapInArrow(
+            _sets, "vertex long, shingles array<long>")
+
+    found = roots(distinct.select("vertex", "n", "fp", "keys"), sets_of)
+    groups = distinct.select("vertex", "place").join(found, "vertex", "left")
+    first = groups.groupBy(F.coalesce("root", "vertex").alias("root")).agg(F.min("place").alias("place"))
+    kept = each.join(first.select(F.col("place.nth").alias("_kept")), F.col("_nth") == F.col("_kept"), "left_semi")
+    return kept.select(*[F.col("_in")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])

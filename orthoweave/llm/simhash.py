@@ -41,12 +41,16 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     n = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_intdigest
     begin, end = starts[:n].tolist(), ends[min(width, len(words)) - 1:].tolist()
-    hashes = np.array([digest(joined[b:e], SEED) for b, e in zip(begin, end, strict=True)], "<u8")
+    return majority(np.array([digest(joined[b:e], SEED) for b, e in zip(begin, end, strict=True)], "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, n, _CHUNK):
-        part = hashes[at:at + _CHUNK].view(np.uint8).reshape(-1, 8)
+    for at in range(0, len(hashes), _CHUNK):
+        part = hashes[at:at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > n, bitorder="little")
+    bits = np.packbits(counts * 2 > len(hashes), bitorder="little")
     return int(bits.view("<u8")[0])
 
 

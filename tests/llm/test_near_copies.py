@@ -4,6 +4,9 @@ import random
 
 import corpus_pipeline
 
+from orthoweave.llm import near_copies
+from orthoweave.llm.common import table
+
 from .conftest import DOCS, SMALL, sentence
 
 
@@ -24,6 +27,10 @@ def plain_first(rows):
     return {i for i in sets if find(i) == i}
 
 
+def stage():
+    return [f for _, f in corpus_pipeline.STAGES][1]
+
+
 def test_near_stage(spark):
     """Copies with changed words, between 0.75 and 1 in similarity, and exact copies."""
     rng = random.Random(3)
@@ -36,7 +43,54 @@ def test_near_stage(spark):
                 own[rng.randrange(len(own))] = "".join(rng.choice("bdfgzx") for _ in range(6))
             rows.append((3 * i + k, " ".join(own)))
     docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows] + [(None, rows[0][1], "en", "a", 1)], DOCS)
-    kept = dict(zip(("quality", "near"), [f for _, f in corpus_pipeline.STAGES], strict=False))["near"](spark, docs, SMALL)
-    found = [r.doc_id for r in kept.collect()]
+    found = [r.doc_id for r in stage()(spark, docs, SMALL).collect()]
     want = plain_first(rows)
-    assert len(rows) - len(want) > 40 and found.count(None) == 1 and {i for i in found if i is not None} == want
+    assert len(rows) - len(want) > 40 and None not in found and sorted(found) == sorted(want)
+
+
+def test_repeated_and_null_ids(spark, clashing, empty):
+    """Rows decide, not ids: copies go whatever their id, other texts stay."""
+    rng = random.Random(4)
+    a, b, c = (sentence(rng, 40) for _ in range(3))
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, a), (1, b), (None, c), (3, ""), (4, None), (None, " \t")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in stage()(spark, docs, SMALL).collect())
+    assert kept == sorted([(False, 1, a), (False, 1, b), (True, 0, c), (False, 3, "")])
+    assert stage()(spark, clashing, SMALL).columns == clashing.columns
+    assert stage()(spark, empty, SMALL).collect() == []
+
+
+def test_crowds(spark, monkeypatch):
+    """Copies of one text that are no copies of each other, texts that share a passage, and
+    exact copies: the groups are those of brute force, and pairs stay few."""
+    monkeypatch.setattr(near_copies, "CROWD", 8)
+    rng = random.Random(6)
+    base, passage = sentence(rng, 120).split(" "), sentence(rng, 60)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 90):
+        own = list(base)
+        for at in rng.sample(range(len(own)), rng.randint(0, 4)):
+            own[at] = "".join(rng.choice("bdfgzx") for _ in range(6))
+        rows.append((i, " ".join(own)))
+    rows += [(200 + i, sentence(rng, 50) + " " + passage + " " + sentence(rng, 5)) for i in range(60)]
+    rows += [(300 + i, " ".join(base)) for i in range(50)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS)
+    tried = []
+    real = near_copies.materialise
+
+    def watched(df, purpose):
+        done = real(df, purpose)
+        if purpose in ("near-tried", "near-rest"):
+            tried.append(done.count())
+        return done
+    monkeypatch.setattr(near_copies, "materialise", watched)
+    found = sorted(r.doc_id for r in stage()(spark, docs, SMALL).collect())
+    assert found == sorted(plain_first(rows))
+    assert tried[0] < 400 and tried[1] < 100
+
+
+def test_recall_on_the_given_documents(spark):
+    """All groups of the smallest table, by brute force over all pairs."""
+    docs = table(spark, SMALL, "documents")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    assert sorted(r.doc_id for r in stage()(spark, docs, SMALL).collect()) == sorted(plain_first(rows))
