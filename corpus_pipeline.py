@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies (SimHash and shingles): the smallest id."""
     return near_copies.keep_first(docs)
 
 
@@ -40,7 +40,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality),
-    ("near-dedup by shingles", near_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
     ("token-ID output", tokenise),
