@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from orthoweave.functions import names
 from orthoweave.functions.util import as_column
-from orthoweave.operators.matching import salted_join
 
 # Shortest interval class of the interval join, and the number of classes. Each
 # class doubles the width, so 34 of them cover ten thousand years.
@@ -114,11 +113,17 @@ def clock_grid(spark: SparkSession, grid: ClockGrid) -> DataFrame:
     return spark.range(grid.count).select(grid.time_at("id").alias("ts"))
 
 
-def grid_within(start, end, step_seconds: float) -> Column:
-    """Array of clock times from ``start`` to ``end``, for rows with start < end."""
-    start, end = as_column(start), as_column(end)
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_seconds).cast("decimal(18,6)"))
-    return F.when(start < end, F.sequence(start, end, step))
+def times_within(segments: DataFrame, step_seconds: float) -> DataFrame:
+    """A row per segment and clock time ts from its start to its end, in steps from its start;
+    segments that do not start before their end have none. A segment is cut into chunks of
+    GRID_CHUNK times first, so no row holds more, however long it claims to be."""
+    step = round(step_seconds * 1_000_000)
+    last = F.expr(f"timestampdiff(MICROSECOND, start_time, end_time) div {step}L")
+    chunks = segments.where("start_time < end_time").withColumn("_last", last).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"_last div {GRID_CHUNK}"))))
+    chunks = chunks.repartition("start_time", "_chunk").withColumn("_k", F.explode(F.sequence(
+        F.col("_chunk") * GRID_CHUNK, F.least("_last", F.col("_chunk") * GRID_CHUNK + (GRID_CHUNK - 1)))))
+    return chunks.withColumn("ts", F.timestamp_add("MICROSECOND", F.col("_k") * step, F.col("start_time"))).drop("_last", "_chunk", "_k")
 
 
 def clock_times(spark: SparkSession, texts: list[str]) -> DataFrame:
@@ -158,8 +163,8 @@ def containing_segments(segments: DataFrame, targets: DataFrame) -> DataFrame:
     A segment goes into the class of widths just above its length and touches at
     most two buckets of that class; a time is put into one bucket per class. The
     candidates of a segment then stay within a small factor of its real matches,
-    however long or wrong its end time is. Buckets that many cameras share are split
-    by a salt; classes that no segment has are left out.
+    however long or wrong its end time is. Times are repeated per class only; a bucket
+    that many segments share is left to Spark's skew handling, and segments are read once.
     """
     length = _micros("end_time") - _micros("start_time")
     level = F.ceil(F.log2(F.greatest(length / F.lit(BUCKET_SECONDS * 1e6), F.lit(1.0))))
@@ -173,11 +178,10 @@ def containing_segments(segments: DataFrame, targets: DataFrame) -> DataFrame:
     times = (
         targets.select("ts")
         .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(BUCKET_LEVELS - 1))))
-        .join(placed.select("_level").distinct(), "_level", "left_semi")
         .withColumn("_bucket", F.floor(_micros("ts") / _bucket_micros(F.col("_level"))))
     )
     return (
-        salted_join(placed, times, ["_level", "_bucket"], ["camera", "path"])
+        placed.join(times, ["_level", "_bucket"])
         .where(F.col("ts").between(F.col("start_time"), F.col("end_time")))
         .drop("_level", "_bucket")
     )

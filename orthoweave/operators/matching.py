@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.dataset as pa_ds
+import pyarrow.fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orthoweave.functions import names
 from orthoweave.functions.util import as_column
+from orthoweave.session import work_dir
 
 # Copies of the small side of a join whose key may be dominated by one camera.
 SALTS = 16
+# Identifiers looked for at once, and blocks of them that a task keeps.
+NAME_BLOCK, KEPT_BLOCKS = 50_000, 4
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list[str],
@@ -30,33 +40,69 @@ def with_metadata(data: DataFrame, metadata: DataFrame, on: list[str]) -> DataFr
     return data.join(metadata, on)
 
 
+class _Names:
+    """Blocks of identifiers in a stored table, each with its Aho-Corasick automaton. A few
+    blocks are kept, more are built again for each batch of texts."""
+
+    def __init__(self, folder: str, column: str):
+        path = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith("file:") else folder
+        system, path = pa_fs.FileSystem.from_uri(path)
+        self.data, self.column = pa_ds.dataset(path, format="parquet", filesystem=system), column
+        self.kept = [] if self.data.count_rows() <= KEPT_BLOCKS * NAME_BLOCK else None
+
+    def blocks(self) -> Iterator[tuple]:
+        """(automaton, rows) of every block."""
+        import ahocorasick
+        if self.kept:
+            yield from self.kept
+            return
+        for batch in self.data.to_batches(batch_size=NAME_BLOCK):
+            automaton = ahocorasick.Automaton()
+            rows: dict[str, list[int]] = {}
+            for i, name in enumerate(batch.column(self.column).to_pylist()):
+                rows.setdefault(name, []).append(i)
+            for name, found in rows.items():
+                automaton.add_word(name, found)
+            if rows:
+                automaton.make_automaton()
+                if self.kept is not None:
+                    self.kept.append((automaton, batch))
+                yield automaton, batch
+
+
 def contains_join(texts: DataFrame, text: str, ids: DataFrame, id_column: str) -> DataFrame:
-    """All pairs where ``text`` contains the identifier, planned as an equi-join.
+    """All pairs where ``text`` contains the identifier, in one pass over each text.
 
-    Every piece of the text that is as long as some identifier is looked up; a
-    pair is taken at its first position only. Positions where no identifier begins
-    are dropped first, by a semi join with the beginnings of all identifiers.
+    The identifiers are written to the shared folder and read by the tasks in blocks of
+    NAME_BLOCK; an automaton finds all of a block's identifiers in a text at once. Texts
+    are not shuffled, and there is no row per place or per identifier tried. Empty and
+    NULL identifiers are in no text; a pair is given once, however often it occurs.
     """
-    shapes = ids.where(F.length(id_column) > 0).select(F.length(id_column).alias("n"))
-    lengths = sorted(row.n for row in shapes.distinct().collect())  # a handful of integers
-    if not lengths:
-        return texts.where("false").join(ids, F.col(text) == F.col(id_column))
-    heads = ids.where(F.length(id_column) > 0).select(
-        F.substring(id_column, 1, lengths[0]).alias("_head")).distinct()
-    placed = texts.where(F.length(text) >= lengths[0]).withColumn(
-        "_at", F.explode(F.sequence(F.lit(1), F.length(text) - (lengths[0] - 1))))
-    beginning = F.substr(F.col(text), F.col("_at"), F.lit(lengths[0]))
-    placed = placed.withColumn("_head", beginning).join(heads, "_head", "left_semi").drop("_head")
-    pieces = (
-        placed.withColumn("_width", F.explode(F.array(*[F.lit(n) for n in lengths])))
-        .where(F.length(text) >= F.col("_at") + F.col("_width") - 1)
-        .withColumn("_piece", F.substr(F.col(text), F.col("_at"), F.col("_width")))
-    )
-    return (
-        pieces.join(ids, F.col("_piece") == F.col(id_column))
-        .where(F.instr(F.col(text), F.col(id_column)) == F.col("_at"))
-        .drop("_width", "_at", "_piece")
-    )
+    folder = work_dir(texts.sparkSession, "names")
+    ids.where(F.length(id_column) > 0).write.parquet(folder)
+    schema = T.StructType([*texts.schema.fields, *ids.schema.fields])
+    arrow, place = to_arrow_schema(schema), texts.columns.index(text)
+
+    ids_columns = ids.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = _Names(folder, id_column)
+        for batch in batches:
+            values = batch.column(place).to_pylist()
+            for automaton, block in names.blocks():
+                rows, found = [], []
+                for i, value in enumerate(values):
+                    if value:
+                        hits = sorted({k for _, ks in automaton.iter(value) for k in ks})
+                        rows += [i] * len(hits)
+                        found += hits
+                at, to = pa.array(rows, pa.int64()), pa.array(found, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [c.take(at).cast(f.type) for c, f in zip(batch.columns, arrow, strict=False)]
+                    + [block.column(n).take(to).cast(arrow.field(batch.num_columns + k).type) for k, n in enumerate(ids_columns)],
+                    schema=arrow)
+
+    return texts.mapInArrow(run, schema)
 
 
 def match_calibration(images: DataFrame, cameras: DataFrame, path: str = "path") -> DataFrame:

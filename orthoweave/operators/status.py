@@ -25,17 +25,19 @@ def failures(status: DataFrame) -> DataFrame:
     return status.where(~F.col("success")).select("stage", "ts", "camera", "error")
 
 
-def band_stats(pixel_rows: DataFrame, keys: list[str]) -> DataFrame:
+def band_stats(pixel_rows: DataFrame, keys: list[str], no_data: int | None = None) -> DataFrame:
     """Minimum, maximum, mean, deviation and share of present values per band.
 
-    One pass over the pixels; the bands become rows after the aggregation.
+    NULLs, and values equal to ``no_data`` if one is given, are missing: they count in
+    the share only. One pass over the pixels; the bands become rows after the aggregation.
     """
     totals = []
     for band in BANDS:
+        value = F.col(band) if no_data is None else F.nullif(F.col(band), F.lit(no_data))
         totals += [
-            F.min(band).alias(f"{band}_min"), F.max(band).alias(f"{band}_max"),
-            F.avg(band).alias(f"{band}_mean"), F.stddev_pop(band).alias(f"{band}_stddev"),
-            (F.count(band) * 100.0 / F.count(F.lit(1))).alias(f"{band}_valid"),
+            F.min(value).alias(f"{band}_min"), F.max(value).alias(f"{band}_max"),
+            F.avg(value).alias(f"{band}_mean"), F.stddev_pop(value).alias(f"{band}_stddev"),
+            (F.count(value) * 100.0 / F.count(F.lit(1))).alias(f"{band}_valid"),
         ]
     wide = pixel_rows.groupBy(*keys).agg(*totals)
     rows = F.explode(F.array(*[

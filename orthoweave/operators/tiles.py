@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -53,6 +53,21 @@ def by_key(df: DataFrame, *keys: str) -> GroupedData:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
 
 
+def tile_fault(size: int = TILE) -> Column:
+    """What is wrong with a tile, or NULL: a tile must have bytes for its size, and its size
+    and place must fit the grid."""
+    def message(text: str, *values: str) -> Column:
+        return F.format_string("tile (%s, %s): " + text, "tile_row", "tile_col", *values)
+
+    sides = F.coalesce((F.col("height") > 0) & (F.col("width") > 0) & (F.col("height") <= size) & (F.col("width") <= size), F.lit(False))
+    return (
+        F.when(F.coalesce((F.col("tile_row") < 0) | (F.col("tile_col") < 0), F.lit(True)), message("no such place"))
+        .when(~sides, message("size %s x %s", "height", "width"))
+        .when(F.col("data").isNull(), message("no data"))
+        .when(F.octet_length("data") != F.col("height") * F.col("width") * 3, F.format_string(
+            "tile (%s, %s): %s bytes for %s x %s", "tile_row", "tile_col", F.octet_length("data"), "height", "width")))
+
+
 # --- conversion ----------------------------------------------------------------------------
 
 def to_tiles(pixel_rows: DataFrame, size: int = TILE) -> DataFrame:
@@ -186,23 +201,71 @@ def _canvases(sources: list[dict], size: int) -> Iterator[tuple[int, int, np.nda
     yield min(rows) * size, min(cols) * size, canvas
 
 
-def _gather(lookup: dict, sources: list[dict], size: int) -> np.ndarray:
-    """Bilinear gather of one output tile from the source tiles it reads."""
-    sy, sx = _subpixels(lookup, "src_y").ravel(), _subpixels(lookup, "src_x").ravel()
-    row, col, fy, fx = sy >> 5, sx >> 5, (sy & 31).astype(np.int32), (sx & 31).astype(np.int32)
-    total = np.zeros((len(row), 3), np.int32)
-    for top, left, block in _canvases(sources, size):
-        height, width = block.shape[:2]
-        flat = block.reshape(-1, 3)
-        for dr in (0, 1):
-            for dc in (0, 1):
-                r, c = row + (dr - top), col + (dc - left)
-                weight = (fy if dr else SUBPIXEL - fy) * (fx if dc else SUBPIXEL - fx)
-                weight = np.where((r >= 0) & (r < height) & (c >= 0) & (c < width), weight, 0)
-                at = np.clip(r, 0, height - 1) * width + np.clip(c, 0, width - 1)
-                total += flat[at] * weight[:, None]
-    done = (total + WEIGHT_SUM // 2) // WEIGHT_SUM
-    return done.astype(np.uint8).reshape(lookup["height"], lookup["width"], 3)
+#: Bits of a channel in a packed pixel: room for 255 times the sum of the weights.
+_LANE = 21
+
+
+class Gather:
+    """Bilinear gather into one output tile. Places and weights are found once, for all
+    timestamps; the three channels of a pixel go through the sum in one 64-bit number."""
+
+    def __init__(self, lookup: dict, size: int):
+        self.size, self.shape = size, (lookup["height"], lookup["width"])
+        sy, sx = _subpixels(lookup, "src_y").ravel(), _subpixels(lookup, "src_x").ravel()
+        self.row, self.col = sy >> 5, sx >> 5
+        fy, fx = (sy & 31).astype(np.uint64), (sx & 31).astype(np.uint64)
+        usable = (self.row > -2) & (self.col > -2)
+        whole = np.uint64(SUBPIXEL)
+        self.weights = [np.where(usable, wy * wx, np.uint64(0)) for wy in (whole - fy, fy) for wx in (whole - fx, fx)]
+        # the box that is read, a pixel wider than the image where positions lie on its border
+        self.top, self.left = (int(v[usable].min()) if usable.any() else 0 for v in (self.row, self.col))
+        self.high, self.wide = (int(v[usable].max()) + 2 - low if usable.any() else 2
+                                for v, low in ((self.row, self.top), (self.col, self.left)))
+        at = np.where(usable, (self.row - self.top) * self.wide + (self.col - self.left), 0)
+        self.taps = [at + d for d in (0, 1, self.wide, self.wide + 1)]
+        # source tiles that lie far apart are added one after the other instead
+        self.compact = self.high * self.wide <= 16 * max(len(self.row), size * size)
+
+    def _sum(self, canvas: np.ndarray, taps: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+        wide = canvas.astype(np.uint64)
+        packed = (wide[..., 0] | wide[..., 1] << np.uint64(_LANE) | wide[..., 2] << np.uint64(2 * _LANE)).ravel()
+        total = packed.take(taps[0])
+        total *= weights[0]
+        for tap, weight in zip(taps[1:], weights[1:], strict=True):
+            part = packed.take(tap)
+            part *= weight
+            total += part
+        return total
+
+    def __call__(self, sources: list[dict]) -> np.ndarray:
+        if self.compact:
+            canvas = np.zeros((self.high, self.wide, 3), np.uint8)
+            for s in sources:
+                y, x = s["src_tile_row"] * self.size - self.top, s["src_tile_col"] * self.size - self.left
+                a, b = max(0, y), min(self.high, y + s["height"])
+                c, d = max(0, x), min(self.wide, x + s["width"])
+                if a < b and c < d:
+                    canvas[a:b, c:d] = _pixels_of(s, self.size)[a - y:b - y, c - x:d - x]
+            total = self._sum(canvas, self.taps, self.weights)
+        else:
+            total = np.zeros(len(self.row), np.uint64)
+            for top, left, block in _canvases(sources, self.size):
+                height, width = block.shape[:2]
+                taps, weights = [], []
+                for k, (dr, dc) in enumerate(((0, 0), (0, 1), (1, 0), (1, 1))):
+                    r, c = self.row + (dr - top), self.col + (dc - left)
+                    inside = (r >= 0) & (r < height) & (c >= 0) & (c < width)
+                    taps.append(np.where(inside, r * width + c, 0))
+                    weights.append(np.where(inside, self.weights[k], np.uint64(0)))
+                total += self._sum(block, taps, weights)
+        half, shift, byte = np.uint64(WEIGHT_SUM // 2), np.uint64(WEIGHT_SUM.bit_length() - 1), np.uint64(255)
+        out = np.empty((len(self.row), 3), np.uint8)
+        for k in range(3):
+            lane = total >> np.uint64(k * _LANE)
+            lane &= np.uint64((1 << _LANE) - 1)
+            lane += half
+            out[:, k] = (lane >> shift) & byte
+        return out.reshape(*self.shape, 3)
 
 
 def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | None = None,
@@ -232,10 +295,11 @@ def remap_tiles(frame_tiles: DataFrame, lookup: DataFrame, deps: DataFrame | Non
         by_ts: dict = {}
         for source in sources.to_pylist():
             by_ts.setdefault(source["ts"], []).append(source)
+        gathered = Gather(tile, size)
         return _table(arrow, [{
             "ts": ts, "camera": tile["camera"], "tile_row": tile["tile_row"],
             "tile_col": tile["tile_col"], "height": tile["height"], "width": tile["width"],
-            "data": _gather(tile, by_ts.get(ts, []), size).tobytes()} for ts in tile["times"]])
+            "data": gathered(by_ts.get(ts, [])).tobytes()} for ts in tile["times"]])
 
     sources = salted_join(
         with_metadata(frame_tiles, blocked, ["ts", "camera"]).withColumnsRenamed(

@@ -37,13 +37,18 @@ class RunInputs:
     cameras: DataFrame | None = None
 
 
-def _status(stage: str, wanted: DataFrame, done: DataFrame, keys: list[str], error: str) -> DataFrame:
+def _status(stage: str, wanted: DataFrame, done: DataFrame, keys: list[str], error: str,
+            faults: DataFrame | None = None) -> DataFrame:
+    """Status rows of what a stage wanted; faults (keys, fault) name what went wrong."""
     found = done.select(*keys).distinct().withColumn("_done", F.lit(True))
     success = F.coalesce("_done", F.lit(False))
     camera = F.col("camera") if "camera" in keys else F.lit(None)
-    return wanted.join(found, keys, "left").select(
+    rows, message = wanted.join(found, keys, "left"), F.lit(error)
+    if faults is not None:
+        rows, message = rows.join(faults, keys, "left"), F.coalesce("fault", message)
+    return rows.select(
         F.lit(stage).alias("stage"), "ts", camera.cast("string").alias("camera"),
-        success.alias("success"), F.when(~success, F.lit(error)).alias("error"))
+        success.alias("success"), F.when(~success, message).alias("error"))
 
 
 def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str, ...] = STAGES,
@@ -55,6 +60,8 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
     stage. Each stage keeps the list of its images beside its rasters, so status rows
     and later stages read no pixels for it. A run works on the times of its grid only;
     runs over other times add to the tables.
+    A frame with a broken tile fails alone: its status row says what is wrong, its tiles stay
+    in the frames table with that error, and the run goes on with the others.
     Without a single extracted frame the later stages do not run.
     """
     unknown = set(stages) - set(STAGES)
@@ -79,14 +86,23 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
         known = inputs.frames if inputs.images is None else inputs.images
         listed = known.select("ts", "camera").distinct().join(
             requests.select("ts", "camera"), ["ts", "camera"], "left_semi")
+        given = inputs.frames.join(requests.select("ts", "camera"), ["ts", "camera"], "left_semi")
+        faults = None
+        if orthos.in_tiles(given) and not listed.isEmpty():
+            # one pass over the pixels: what is wrong with a tile is written beside it
+            tables.write_frames(given.withColumn("error", tiles.tile_fault(size)), f"{folder}/frames")
+            faults = stored("frames").where("error IS NOT NULL").groupBy("ts", "camera").agg(F.min("error").alias("fault"))
+            listed = listed.join(faults, ["ts", "camera"], "left_anti")
         listed = keep(listed, "frames_list")
-        rows.append(_status("extract", requests.select("ts", "camera"), listed, ["ts", "camera"], "no frame"))
+        rows.append(_status("extract", requests.select("ts", "camera"), listed, ["ts", "camera"], "no frame", faults))
         if listed.isEmpty():
             return _all(rows)
-        tables.write_frames(inputs.frames.join(listed.select("ts", "camera"), ["ts", "camera"], "left_semi"),
-                            f"{folder}/frames")
+        if faults is None:
+            tables.write_frames(given.join(listed.select("ts", "camera"), ["ts", "camera"], "left_semi"), f"{folder}/frames")
     if "ortho" in stages:
         frames, listed = stored("frames"), stored("frames_list").select("ts", "camera")
+        if "error" in frames.columns:
+            frames = frames.where("error IS NULL").drop("error")
         cameras = inputs.cameras
         if cameras is None:
             cameras = inputs.ortho_map.select("camera").distinct().withColumn("cal_order", F.col("camera"))

@@ -108,13 +108,15 @@ def mosaic_order(spark, sf_dir):
 
 @query("A14_band_stats", with_views("px", """
     select camera, cast(band as int) band, min(v) minimum, max(v) maximum, round(avg(v),6) mean,
-           round(stddev_pop(v),6) stddev, 100.0::double valid_percent
-    from (select camera, unnest([1,2,3]) band, unnest([b,g,r]) v from px) group by camera, band"""))
+           round(stddev_pop(v),6) stddev, round(count(v)*100.0::double/count(*),6) valid_percent
+    from (select camera, band, nullif(v, 0) v from (
+      select camera, unnest([1,2,3]) band, unnest([b,g,r]) v from px)) group by camera, band"""))
 def band_stats(spark, sf_dir):
-    stats = status.band_stats(views.pixels(spark, sf_dir), ["camera"])
+    """Zero counts as missing."""
+    stats = status.band_stats(views.pixels(spark, sf_dir), ["camera"], no_data=0)
     return stats.select("camera", "band", "minimum", "maximum", F.round("mean", 6).alias("mean"),
                         F.round("stddev", 6).alias("stddev"),
-                        F.col("valid_percent").cast("double").alias("valid_percent"))
+                        F.round(F.col("valid_percent").cast("double"), 6).alias("valid_percent"))
 
 
 # --- gathers -------------------------------------------------------------------------------

@@ -200,9 +200,8 @@ def path_date(spark, sf_dir):
       select event_id, unnest(generate_series(start_time, end_time, interval '450 seconds')) g
       from segs where start_time<end_time)"""))
 def clock_grid(spark, sf_dir):
-    grid = catalog.grid_within("start_time", "end_time", 450.0)
-    return views.segments(spark, sf_dir).select("event_id", F.explode(grid).alias("ts")).select(
-        "event_id", names.ts_folder("ts").alias("ts_folder"))
+    segments = views.segments(spark, sf_dir).select("event_id", "start_time", "end_time")
+    return catalog.times_within(segments, 450.0).select("event_id", names.ts_folder("ts").alias("ts_folder"))
 
 
 _MATCH_SQL = f"""

@@ -291,3 +291,23 @@ def test_neighbours_stop_at_a_hole(spark):
     raster = spark.createDataFrame(cells, "ts int, row int, col int, gray int")
     found = {r.col: r.gx for r in neighbourhood.sobel_gradient(raster, ["ts"]).collect()}
     assert found == {0: 0, 1: 0, 3: 0}  # no value comes from the other side of column 2
+
+
+def test_gather_of_many_full_tiles(spark):
+    """Tiles of the default size, a map that turns and enlarges, and one that jumps about."""
+    rng = np.random.default_rng(6)
+    frames = {(t, "c"): rng.integers(0, 256, (300, 290, 3)) for t in range(2)}
+    ys, xs = np.indices((270, 300))
+    turned = lookup(spark, "c", 0.9 * xs + 0.2 * ys - 8, 0.9 * ys - 0.1 * xs + 3, 290, 300)
+    scattered = lookup(spark, "c", rng.uniform(-5, 300, (40, 30)), rng.uniform(-5, 310, (40, 30)), 290, 300)
+    for table in (turned, scattered):
+        a, b = both_forms(spark, pixel_frame(spark, frames), table, size=tiles.TILE)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
+
+
+def test_tile_faults(spark):
+    rows = [(0, 0, 2, 2, b"x" * 12), (0, 0, 2, 2, b"x" * 11), (0, 1, 0, 2, b""), (1, 0, 2, 2, None), (-1, 0, 1, 1, b"abc"), (0, 0, 5, 2, b"")]
+    df = spark.createDataFrame(rows, "tile_row int, tile_col int, height int, width int, data binary")
+    found = [r.fault for r in df.select(tiles.tile_fault(4).alias("fault")).collect()]
+    assert found == [None, "tile (0, 0): 11 bytes for 2 x 2", "tile (0, 1): size 0 x 2", "tile (1, 0): no data",
+                     "tile (-1, 0): no such place", "tile (0, 0): size 5 x 2"]
