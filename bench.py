@@ -30,7 +30,7 @@ HEADLINE = (
 )
 
 # Large images for the tile operators: one per group of ORDERS_PER_IMAGE orders.
-IMAGE_SIDE, TILE, CAMERAS, ORDERS_PER_IMAGE = 1024, 256, 8, 12000
+IMAGE_SIDE, TILE, CAMERAS, ORDERS_PER_IMAGE = 1024, 256, 8, 1500
 
 
 def large_frames(spark, sf_dir):
