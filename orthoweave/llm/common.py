@@ -45,6 +45,19 @@ def bucket_of_id(modulus: int, column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(0)) % modulus
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """(_in, _id, _text): each row whole, whatever its columns are called, with its id and
+    text, so that a task can decide on the row itself."""
+    return docs.select(
+        F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_in"),
+        docs["doc_id"].cast("long").alias("_id"), docs["text"].cast("string").alias("_text"))
+
+
+def unpacked_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of packed_rows() in their own columns again."""
+    return rows.select(*[F.col("_in")[f"c{i}"].alias(c) for i, c in enumerate(columns)])
+
+
 def open_fs(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a folder in the shared store (local, hdfs, s3, gs)."""
     if "://" not in uri and not uri.startswith("file:"):

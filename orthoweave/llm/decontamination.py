@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orthoweave.llm.common import materialise
+from orthoweave.llm.common import packed_rows, unpacked_rows
 
 Q = 8  # a q-gram is the eight bytes of one unsigned 64-bit number
 REGION, STRIDE = 80, 40
@@ -174,6 +174,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "0L AS item_id", "0L AS n_regions", "0L AS edits", "0L AS end_byte").where("false")])
 
 
+def _hits(index: Index, texts: pa.Array) -> dict[tuple[int, int], list]:
+    """(row, item) of the items found in texts: edits of the closest region, first end, regions."""
+    hits: dict[tuple[int, int], list] = {}
+    for chunk, rows, begins in _chunks(texts):
+        for region, end, edits in index.search(chunk):
+            at = int(np.searchsorted(begins[:, 0], end - 1, side="right")) - 1
+            hit = hits.setdefault((rows[at], index.item[region]), [edits, 1 << 62, set()])
+            hit[0] = min(hit[0], edits)
+            hit[1] = min(hit[1], end - int(begins[at, 0]) + int(begins[at, 1]))
+            hit[2].add(region)
+    return hits
+
+
 def _search_block(narrow: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
     shared = narrow.sparkSession.sparkContext.broadcast(items)
 
@@ -182,22 +195,14 @@ def _search_block(narrow: DataFrame, items: list[tuple[int, bytes]]) -> DataFram
         for batch in batches:
             if not len(index):
                 continue
-            hits: dict[tuple[int, int], list[int]] = {}
-            for chunk, rows, begins in _chunks(batch.column(1)):
-                for region, end, edits in index.search(chunk):
-                    at = int(np.searchsorted(begins[:, 0], end - 1, side="right")) - 1
-                    hit = hits.setdefault((rows[at], index.item[region]), [0, edits, 1 << 62, set()])
-                    hit[1] = min(hit[1], edits)
-                    hit[2] = min(hit[2], end - int(begins[at, 0]) + int(begins[at, 1]))
-                    hit[3].add(region)
-            ids = batch.column(0)
+            hits, ids = _hits(index, batch.column(1)), batch.column(0)
             keys = sorted(hits)
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array([r for r, _ in keys], pa.int64())),
                 pa.array([i for _, i in keys], pa.int64()),
-                pa.array([len(hits[k][3]) for k in keys], pa.int64()),
-                pa.array([hits[k][1] for k in keys], pa.int64()),
-                pa.array([hits[k][2] for k in keys], pa.int64())], [c.split()[0] for c in MATCH.split(", ")])
+                pa.array([len(hits[k][2]) for k in keys], pa.int64()),
+                pa.array([hits[k][0] for k in keys], pa.int64()),
+                pa.array([hits[k][1] for k in keys], pa.int64())], [c.split()[0] for c in MATCH.split(", ")])
 
     return narrow.mapInArrow(run, MATCH)
 
@@ -229,7 +234,23 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[int], np.ndarray
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The input rows in which no benchmark item is found, all columns. Rows with a null
-    id cannot be matched to a finding and stay."""
-    found = materialise(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")), "leaks").distinct()
-    return docs.join(found, docs["doc_id"] == found["_leaked"], "left_anti")
+    """The input rows in which no benchmark item is found, all columns. The task that
+    searches a row decides on it: rows without an id too, and rows that share one apart."""
+    rows = packed_rows(docs)
+    for items in _blocks(benchmark):
+        rows = _keep_clean(rows, items)
+    return unpacked_rows(rows, docs.columns)
+
+
+def _keep_clean(rows: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(shared.value)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            if len(index):
+                clean[[row for row, _ in _hits(index, batch.column(2))]] = False
+            yield batch.filter(pa.array(clean))
+
+    return rows.mapInArrow(run, rows.schema)

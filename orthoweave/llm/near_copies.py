@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orthoweave.llm import simhash
-from orthoweave.llm.common import connected_components, materialise
+from orthoweave.llm.common import connected_components, materialise, packed_rows, unpacked_rows
 
 WIDTH, SIMILARITY_PERCENT = 5, 80
 KEYS, KEY_MINIMA = 20, 4
@@ -58,16 +58,16 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows with the hash of their set, its size, its SimHash and its keys."""
     for batch in batches:
         vertex, n, prints, found = [], [], [], []
-        for text in batch.column(1):
+        for text in batch.column(2):
             hashes = shingles(text.as_py())
             vertex.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
             n.append(len(hashes))
             prints.append(simhash.majority(hashes))
             found.append(keys(hashes))
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array(vertex, pa.int64()), pa.array(n, pa.int64()),
+            *batch.columns[:2], pa.array(vertex, pa.int64()), pa.array(n, pa.int64()),
             pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))],
-            ["_in", "_text", *[f.name for f in _SKETCH]])
+            [*batch.schema.names[:2], *[f.name for f in _SKETCH]])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,6 +94,12 @@ def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose members are not connected."""
+    named = pairs.join(joined.toDF("a", "root_a"), "a", "left").join(joined.toDF("b", "root_b"), "b", "left")
+    return named.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _by_simhash(distinct: DataFrame) -> DataFrame:
     """Candidates whose SimHashes are close: through one set of each SimHash."""
     first = distinct.groupBy("fp").agg(F.min("vertex").alias("first"))
@@ -127,11 +133,19 @@ def roots(distinct: DataFrame, sets_of) -> DataFrame:
         "vertex", "n", "bucket", F.coalesce("_own", F.lit(0)).cast("long").alias("own")), "near-crowds")
     original = crowds.groupBy("bucket").agg(F.min(F.struct("own", "vertex", "n")).alias("q"), F.min("n").alias("least"))
     stars = crowds.join(original, "bucket").select("q", F.struct("vertex", "n", "own").alias("p")).where(_within("p", "q"))
-    stars = _ordered(stars, "p.vertex", "q.vertex")
+    stars = materialise(stars.select(F.col("p.vertex").alias("vertex"), F.col("q.own").alias("own"), F.col("q.vertex").alias("to")).distinct(),
+                        "near-stars")
 
+    # each member with the best original of all its keys first, then what is not connected yet
+    best = stars.where("vertex <> to").groupBy("vertex").agg(F.min(F.struct("own", "to")).alias("q"))
     few = _pairs(shared.where(F.col("members") <= CROWD))
-    tried = materialise(few.union(stars).union(by_print).distinct(), "near-tried")
+    tried = materialise(few.union(_ordered(best, "vertex", "q.to")).distinct(), "near-tried")
     first = materialise(verified(tried), "near-first")
+    joined = connected_components(first, "a", "b", "near-edges")
+    more = _apart(_ordered(stars, "vertex", "to").union(by_print).distinct(), joined)
+    more = materialise(more.join(tried, ["a", "b"], "left_anti"), "near-more")
+    first = first.union(materialise(verified(more), "near-second"))
+    tried = tried.union(more)
     linked = materialise(connected_components(first, "a", "b", "near-edges"), "near-roots")
     home = original.select("bucket", "least", F.col("q.vertex").alias("vertex")).join(linked, "vertex", "left").select(
         "bucket", "least", F.coalesce("root", "vertex").alias("home"))
@@ -156,23 +170,22 @@ def keep_first(docs: DataFrame) -> DataFrame:
     of each other; a text shorter than a shingle is one shingle. All columns pass through,
     whatever their names; an empty table stays empty.
     """
-    packed = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_in"),
-                         docs["text"].cast("string").alias("_text"))
-    each = packed.mapInArrow(_sketches, T.StructType([*packed.schema.fields, *_SKETCH]))
+    packed = packed_rows(docs)
+    each = packed.mapInArrow(_sketches, T.StructType([*packed.schema.fields[:2], *_SKETCH]))
     each = materialise(each.withColumn("_nth", F.monotonically_increasing_id()), "near-rows")
-    doc_id = F.col(f"_in.c{docs.columns.index('doc_id')}").cast("long")
-    place = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), F.col("_nth").alias("nth"))
+    text = F.col("_in")[f"c{docs.columns.index('text')}"].cast("string")
+    place = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("doc_id"), F.col("_nth").alias("nth"))
     distinct = materialise(each.groupBy("vertex").agg(
         F.min(place).alias("place"), *[F.first(c).alias(c) for c in ("n", "fp", "keys")]), "near-distinct")
 
     def sets_of(vertices: DataFrame) -> DataFrame:
         # one text of each set, and of those only that are a candidate
         own = distinct.join(vertices, "vertex", "left_semi").select("vertex", F.col("place.nth").alias("_own"))
-        return each.select("_nth", "_text").join(own, F.col("_nth") == F.col("_own")).select("vertex", "_text").mapInArrow(
+        return each.select("_nth", text.alias("_text")).join(own, F.col("_nth") == F.col("_own")).select("vertex", "_text").mapInArrow(
             _sets, "vertex long, shingles array<long>")
 
     found = roots(distinct.select("vertex", "n", "fp", "keys"), sets_of)
     groups = distinct.select("vertex", "place").join(found, "vertex", "left")
     first = groups.groupBy(F.coalesce("root", "vertex").alias("root")).agg(F.min("place").alias("place"))
     kept = each.join(first.select(F.col("place.nth").alias("_kept")), F.col("_nth") == F.col("_kept"), "left_semi")
-    return kept.select(*[F.col("_in")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
+    return unpacked_rows(kept, docs.columns)

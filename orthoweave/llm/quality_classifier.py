@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orthoweave.llm.common import bucket_of_id, materialise
+from orthoweave.llm.common import bucket_of_id, materialise, packed_rows, unpacked_rows
 
 #: Bound of the training sample: labelled rows taken in order of a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -180,8 +181,15 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The input rows the classifier accepts, with all their columns. Rows with a null
-    id cannot be matched to a score and stay."""
-    bad = score(docs, labels, sample_rows).where("predicted = 0 and doc_id is not null")
-    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """The input rows the classifier accepts, with all their columns. The task that reads a
+    row judges it: rows without an id too, and rows that share one apart. Features are found
+    again rather than joined back, so no text is shuffled or stored."""
+    model = fit(materialise(featurise(docs), "quality-features"), labels, sample_rows)
+    rows = packed_rows(docs)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(t) for t in batch.column(2).to_pylist()], np.float64).reshape(-1, len(FEATURES))
+            yield batch.select(["_in"]).filter(pa.array(model.scores(x) >= CUT))
+
+    return unpacked_rows(rows.mapInArrow(keep, T.StructType(rows.schema.fields[:1])), docs.columns)

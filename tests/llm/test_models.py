@@ -105,6 +105,8 @@ def test_classifier_takes_awkward_rows(spark, request, name):
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(text) % 4 == 2)
     kept = quality_classifier.keep_good(docs, labels)
     assert kept.columns == docs.columns
+    # the task decides on the row: as many stay as are predicted good, with or without an id
+    assert Counter(r.doc_id for r in kept.select("doc_id").collect()) == Counter(r.doc_id for r in rows if r.predicted)
 
 
 def test_no_labels(spark, awkward):
@@ -166,3 +168,51 @@ def test_query_keeps_trigrams_that_occur_once(spark, tmp_path, rng):
                 p = max(c3[s[k - 2], s[k - 1], s[k]] - 0.75, 0) / c2[s[k - 2], s[k - 1]] + (1 - w3[s[k - 2], s[k - 1]]) * p
             score += math.log10(p)
         assert found[i] == pytest.approx(score, abs=2e-3 * len(s) + 1e-9)
+
+
+def plain_walk(model, x):
+    """Log odds by walking every tree from its root."""
+    total = model.start
+    inner = model.feature.shape[1]
+    for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf, strict=True):
+        node = 0
+        while node < inner:
+            node = 2 * node + 1 + (x[feature[node]] > threshold[node])
+        total += leaf[node - inner]
+    return total
+
+
+def test_flat_trees_against_a_plain_walk():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, len(quality_classifier.FEATURES)))
+    x[:, 3] = rng.integers(0, 3, 400)  # ties
+    y = ((x[:, 0] + x[:, 3] > 1) ^ (x[:, 5] > 0.5)).astype(int)
+    model = quality_classifier.train(x, y)
+    scores = model.scores(x)
+    assert np.allclose(scores, [1 / (1 + np.exp(-plain_walk(model, r))) for r in x])
+    assert ((scores > 0.5) == y).mean() > 0.9
+
+
+def test_first_split_against_every_split():
+    """The root of the first tree cuts where the gain over all features and cuts is largest."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 20, (300, len(quality_classifier.FEATURES))).astype(float)
+    y = (x[:, 7] > 12).astype(int)
+    y[rng.random(300) < 0.1] ^= 1
+    model = quality_classifier.train(x, y)
+    p = 1 / (1 + np.exp(-model.start))
+    grad, hess = y - p, np.full(300, p * (1 - p))
+    l2, least = quality_classifier.L2, quality_classifier.MIN_LEAF / 4
+
+    def gain(f, cut):
+        low = x[:, f] <= cut
+        if hess[low].sum() < least or hess[~low].sum() < least:
+            return 0.0
+        part = lambda m: -grad[m].sum() ** 2 / (hess[m].sum() + l2)
+        return part(low | ~low) - part(low) - part(~low)
+
+    best = max(gain(f, c) for f in range(x.shape[1]) for c in np.unique(x[:, f])[:-1])
+    f, cut = int(model.feature[0, 0]), float(model.threshold[0, 0])
+    assert f == 7 and abs(gain(f, cut) - best) <= 1e-9 * abs(best)

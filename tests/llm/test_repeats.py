@@ -31,7 +31,8 @@ def best_distance(pattern, data):
     return min(row)
 
 
-def plain_leaks(docs, items):
+def plain_found(docs, items):
+    """(row, doc_id, item_id) of the items found, by the edit distance of every region."""
     found = set()
     for row, (doc_id, text) in enumerate(docs):
         data = decontamination.normalise(text)
@@ -44,7 +45,11 @@ def plain_leaks(docs, items):
                 part = pattern[start:start + decontamination.REGION]
                 if best_distance(part, data) <= len(part) // 10:
                     found.add((row, doc_id, item_id))
-    return Counter((d, i) for _, d, i in found)
+    return found
+
+
+def plain_leaks(docs, items):
+    return Counter((d, i) for _, d, i in plain_found(docs, items))
 
 
 def test_leaks(spark, rng):
@@ -54,15 +59,17 @@ def test_leaks(spark, rng):
         item = items[i % 8][1]
         inside = [item, edit(rng, item, 0.04), edit(rng, item, 0.09), item[:len(item) // 2], edit(rng, item, 0.25), item.upper()][i % 6]
         docs.append((i if i % 7 else None, f"{sentence(rng, 10)} {inside} {sentence(rng, 10)}"))
-    docs += [(90, None), (91, ""), (92, items[0][1]), (92, items[0][1]), (93, items[1][1] * 3)]
+    docs += [(92, sentence(rng, 30)), (90, None), (91, ""), (92, items[0][1]), (92, items[0][1]), (93, items[1][1] * 3)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS item_id", "2 AS edits")
     benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "3 AS doc_id")
     rows = decontamination.find_leaks(frame, benchmark).collect()
     assert Counter((r.doc_id, r.item_id) for r in rows) == plain_leaks(docs, items)
     kept = decontamination.drop_leaked(frame, benchmark)
     assert kept.columns == frame.columns
-    left = {r.doc_id for r in kept.collect()}
-    assert left == {d for d, _ in docs} - {r.doc_id for r in rows if r.doc_id is not None}
+    # rows decide: those without an id go too, and a clean row stays beside a bad one of its id
+    bad = {row for row, _, _ in plain_found(docs, items)}
+    assert any(docs[row][0] is None for row in bad)
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(d for row, d in enumerate(docs) if row not in bad)
 
 
 def test_benchmark_in_blocks_and_long_texts_in_steps(spark, rng, monkeypatch):
