@@ -15,7 +15,7 @@ from orthoweave.suite.oracle_views import projected, with_views
 from orthoweave.suite.registry import ORACLES, query
 
 # sides of the suite's tiles: half an image, and less than an overlap
-SUITE_TILE, SMALL_TILE = 4, 2
+SUITE_TILE, SMALL_TILE = 4, 3
 
 # --- layout --------------------------------------------------------------------------------
 
