@@ -83,7 +83,7 @@ def attempt_name(prefix: str, partition: int) -> str:
 
 def connected_components(edges: DataFrame, a: str, b: str, purpose: str) -> DataFrame:
     """(vertex, root): the smallest vertex of the component, for every vertex that an
-    edge touches. Alternating large-star and small-star steps; each state is a table
+    edge touches but the roots themselves, which have no row. Alternating large-star and small-star steps; each state is a table
     in the shared folder. Edges of one vertex are only joined and aggregated, never
     gathered."""
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
