@@ -6,17 +6,21 @@ calibration is ``original``; saved copies are ``backup_...``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orthoweave.functions import geometry, quality
-from orthoweave.operators.matching import salted_join
+from orthoweave.operators.matching import SALTS, salted_join
 from orthoweave.operators.remap import MODEL_COLUMNS
 
 # Distance in pixels below which two picks count as the same, number
 # of close pairs that is reported, fewest points to calibrate from.
 CLOSE_PIXELS = 30.0
+# Side of a square in which any two picks are close.
+PATCH = math.floor(CLOSE_PIXELS / math.sqrt(2))
 REPORTED_PAIRS = 5
 MIN_GCPS = 6
 ORIGINAL = "original"
@@ -80,7 +84,7 @@ def _neighbour_join(points: DataFrame, columns: list[str], before: Column) -> Da
     dx = F.col("a_col_sample") - F.col("b_col_sample")
     dy = F.col("a_row_sample") - F.col("b_row_sample")
     return (
-        salted_join(left, right, ["camera", "_cc", "_cr"], [f"a_{c}" for c in columns])
+        salted_join(left, right, ["camera", "_cc", "_cr"], [f"a_{c}" for c in columns], grows=True)
         .where(~F.col("_own") | before)
         .withColumn("distance", F.sqrt(dx * dx + dy * dy))
         .where(F.col("distance") < CLOSE_PIXELS)
@@ -117,17 +121,52 @@ def close_pair_counts(picks: DataFrame) -> DataFrame:
     return across.unionByName(within).groupBy("camera").agg(F.sum("n").alias("n_close_pairs"))
 
 
+def _last_first(points: DataFrame, n: int) -> DataFrame:
+    """Per camera a pick that is not before the first pick of its ``n``-th close pair, where
+    the patches alone already hold n pairs. All picks of a patch are close to each other."""
+    patch = W.partitionBy("camera", "_pc", "_pr").orderBy("pid")
+    inside = points.where((F.abs("col_sample") < 1e9) & (F.abs("row_sample") < 1e9)).select(
+        "camera", F.row_number().over(patch).alias("_k"), F.first("pid").over(patch).alias("_first"))
+    order = W.partitionBy("camera").orderBy("_first")
+    pairs = inside.where(F.col("_k").between(2, n + 1)).select(
+        "camera", "_first", F.row_number().over(order).alias("_r"))
+    return pairs.where(F.col("_r") <= n).groupBy("camera").agg(
+        F.max("_first").alias("_last"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") == n).drop("_n")
+
+
 def top_close_pairs(picks: DataFrame, n: int = REPORTED_PAIRS) -> DataFrame:
     """First ``n`` close pairs per camera in (i, j) order.
 
     A pick beyond the first n + 1 at its position cannot be in them: pairs with
-    those earlier picks come first. So only these enter the pair join.
+    those earlier picks come first. Nor can a pick i after the first picks of n pairs that
+    are close for certain. At most n picks i of a patch are left, so the pairs formed grow
+    with the picks, however crowded a place is.
     """
     spot = W.partitionBy("camera", "col_sample", "row_sample").orderBy("pid")
-    early = picks.withColumn("_k", F.row_number().over(spot)).where(F.col("_k") <= n + 1).drop("_k")
+    early = picks.withColumn("_k", F.row_number().over(spot)).where(F.col("_k") <= n + 1)
+    points = early.select(
+        "camera", "pid", "col_sample", "row_sample",
+        F.floor(F.col("col_sample") / PATCH).alias("_pc"), F.floor(F.col("row_sample") / PATCH).alias("_pr"))
+    # a camera without such a limit has hardly two picks in a patch: nothing to split
+    salts = F.when(F.col("_last").isNull(), 1).otherwise(SALTS)
+    limited = points.join(_last_first(points, n), "camera", "left").withColumn("_salts", salts)
+
+    def near(place: str) -> Column:
+        return F.explode(F.sequence(F.col(place) - 2, F.col(place) + 2))
+
+    left = limited.where("_last IS NULL OR pid <= _last").select(
+        "camera", F.col("pid").alias("i"), F.col("col_sample").alias("_ac"), F.col("row_sample").alias("_ar"),
+        "_pc", "_pr", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
+    ).withColumn("_pc", near("_pc")).withColumn("_pr", near("_pr"))
+    right = limited.select(
+        "camera", F.col("pid").alias("j"), F.col("col_sample").alias("_bc"), F.col("row_sample").alias("_br"),
+        "_pc", "_pr", F.pmod(F.xxhash64("pid"), F.col("_salts")).cast("int").alias("_salt"))
+    dx, dy = F.col("_ac") - F.col("_bc"), F.col("_ar") - F.col("_br")
+    # the estimate of the repeated side leaves its repeats out: no broadcast
+    pairs = right.join(left.hint("merge"), ["camera", "_pc", "_pr", "_salt"]).where("i < j").select(
+        "camera", "i", "j", F.sqrt(dx * dx + dy * dy).alias("distance")).where(F.col("distance") < CLOSE_PIXELS)
     order = W.partitionBy("camera").orderBy("i", "j")
-    ranked = close_pairs(early).withColumn("pair_rank", F.row_number().over(order))
-    return ranked.where(F.col("pair_rank") <= n)
+    return pairs.withColumn("pair_rank", F.row_number().over(order)).where(F.col("pair_rank") <= n)
 
 
 # --- reprojection --------------------------------------------------------------------------

@@ -83,6 +83,33 @@ def test_undistorted_frames_keep_their_size(spark):
 PICKS = "pid long, camera string, X double, Y double, Z double, col_sample double, row_sample double"
 
 
+PLACES = "camera string, pid long, col_sample double, row_sample double"
+
+
+def test_first_pairs_of_a_crowd_of_distinct_positions(spark):
+    crowd = [("c1", 10 + k, 300.0 + (k * 7 % 40) / 2, 300.0 + k / 99) for k in range(900)]
+    ahead = [("c1", 3, 290.0, 300.0), ("c1", 5, 800.0, 800.0), ("c2", 1, 0.0, 0.0), ("c2", 2, 29.0, 3.0),
+             ("c3", 1, 5.0, 5.0), ("c3", 2, math.nan, 5.0), ("c3", 3, math.nan, 5.0), ("c3", 4, None, 5.0), ("c3", 5, None, 5.0)]
+    picks = spark.createDataFrame(crowd + ahead, PLACES)
+    whole = [(*a, *b) for a in crowd + ahead for b in crowd + ahead if a[0] == b[0] and a[1] < b[1]
+             and None not in (a[2], b[2]) and math.hypot(a[2] - b[2], a[3] - b[3]) < 30]
+    want = sorted((p[0], p[1], p[5]) for p in whole)
+    first = [p for p in want if p[0] == "c1"][:5] + [p for p in want if p[0] != "c1"]
+    found = calibration.top_close_pairs(picks)
+    assert sorted((r.camera, r.i, r.j) for r in found.collect()) == first
+    # all 900 picks meet the few that can be first, not each other
+    patched = picks.withColumns({c: F.floor(F.col(f"{c0}_sample") / calibration.PATCH) for c, c0 in (("_pc", "col"), ("_pr", "row"))})
+    assert [tuple(r) for r in calibration._last_first(patched, 5).collect()] == [("c1", 10)]
+
+
+@pytest.mark.parametrize("pairs", [calibration.close_pairs, calibration.close_pair_counts, calibration.top_close_pairs])
+def test_repeated_picks_are_not_broadcast(spark, pairs):
+    """Their size is estimated without the repeats."""
+    plan = pairs(spark.createDataFrame([("c1", k, float(k), 0.0) for k in range(9)], PLACES))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and ("_salt" in line)]
+    assert joins and all("SortMergeJoin" in line for line in joins), plan
+
+
 def test_close_pairs_against_all_pairs(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice("ab"), 0.0, 0.0, 0.0, float(rng.randrange(-60, 200)), float(rng.randrange(-60, 200)))
