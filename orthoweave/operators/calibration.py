@@ -191,8 +191,13 @@ def reprojection_rms(gcps: DataFrame, cameras: DataFrame, keys: list[str] | None
 
 
 def best_calibration(gcps: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidate with the lowest reprojection error per camera, ties to the smallest id."""
-    scores = reprojection_rms(gcps, candidates, ["camera", "candidate"])
+    """Candidate with the lowest reprojection error per camera, ties to the smallest id.
+
+    Candidates of equal parameters have equal errors: each model is scored once, under its
+    smallest id, the only one of them that can be the result.
+    """
+    models = candidates.groupBy("camera", *MODEL_COLUMNS).agg(F.min("candidate").alias("candidate"))
+    scores = reprojection_rms(gcps, models, ["camera", "candidate"])
     best = F.min(F.struct("rms", "candidate", "n_gcps")).alias("s")
     return scores.groupBy("camera").agg(best).select("camera", "s.*")
 

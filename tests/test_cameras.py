@@ -148,6 +148,22 @@ def test_perfect_calibration_has_no_error_and_wins(spark):
     assert best.candidate == 2 and best.rms == pytest.approx(0, abs=1e-9) and best.n_gcps == 12
 
 
+def test_candidates_of_equal_parameters_are_scored_once(spark, monkeypatch):
+    gcps = spark.createDataFrame([(i, "c", float(i % 3), float(i), 4.0, 8.0, 6.0) for i in range(6)], PICKS)
+    candidates = spark.createDataFrame(
+        [(9 - k, *record(f=10.0 + k % 2)) for k in range(8)] + [(1, *record(f=9.0))], "candidate int, " + RECORD)
+    rms, scored = calibration.reprojection_rms, []
+
+    def counted(points, cameras, keys):
+        scored.append(cameras.count())
+        return rms(points, cameras, keys)
+
+    want = rms(gcps, candidates, ["camera", "candidate"]).orderBy(F.round("rms", 9), "candidate").first()
+    monkeypatch.setattr(calibration, "reprojection_rms", counted)
+    best = calibration.best_calibration(gcps, candidates).first()
+    assert scored == [3] and best.candidate == want.candidate and best.rms == pytest.approx(want.rms)
+
+
 STORE = [("original", "a", 1.0), ("original", "b", 2.0), ("20250101", "a", 3.0), ("20250301", "a", 4.0),
          ("20250301", "b", 5.0)]
 
