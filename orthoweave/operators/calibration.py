@@ -211,18 +211,21 @@ def resolve_calibration(requests: DataFrame, store: DataFrame, date: str = "date
     ``latest``: the exact date, else the last dated version, also when it is later
     than the date. ``asof``: the last one not after the date. Else ``original``.
     """
-    # One array of distinct dates: at most one entry per calendar day.
+    # One array of distinct dates: at most one entry per calendar day. It is searched once
+    # per distinct date of the requests, not once per request.
     versions = store.where(F.col("version").rlike("^[0-9]{8}$")).agg(
         F.collect_set("version").alias("v")).scalar()
-    listed = requests.withColumn("_v", versions)
-    wanted = F.col(date)
+    dates = requests.select(F.col(date).alias("_date")).distinct().withColumn("_v", versions)
+    wanted = F.col("_date")
     if mode == "latest":
         found = F.when(F.array_contains("_v", wanted), wanted).otherwise(F.array_max("_v"))
     elif mode == "asof":
         found = F.array_max(F.filter("_v", lambda v: v <= wanted))
     else:
         raise ValueError(f"unknown mode: {mode!r}")
-    return listed.withColumn("version", F.coalesce(found, F.lit(ORIGINAL))).drop("_v")
+    resolved = dates.select("_date", F.coalesce(found, F.lit(ORIGINAL)).alias("_version"))
+    return requests.join(resolved, F.col(date).eqNullSafe(F.col("_date")), "left").withColumn(
+        "version", F.col("_version")).drop("_date", "_version")
 
 
 def _require(store: DataFrame, version: str, camera: str) -> DataFrame:

@@ -236,3 +236,16 @@ def test_contains_join_with_very_many_ids(spark):
     ids = spark.range(1000).select(F.format_string("%05d", "id").alias("camera"), F.col("id").alias("cal_order"))
     found = {(r.path, r.camera) for r in matching.contains_join(texts, "path", ids, "camera").collect()}
     assert found == {(f"/x/{i * 7:05d}/", f"{i * 7:05d}") for i in range(50)}
+
+
+@pytest.mark.parametrize("mode", ["latest", "asof"])
+def test_versions_are_searched_once_per_date(spark, store, mode):
+    dates = spark.createDataFrame([(k, d) for k in range(40) for d in ("20250201", None, "20241201")], "k long, date string")
+    found = calibration.resolve_calibration(dates, store, mode=mode)
+    late = "original" if mode == "asof" else "20250301"
+    want = {"20250201": "20250101" if mode == "asof" else late, "20241201": late, None: late}
+    assert sorted((r.k, r.date or "", r.version) for r in found.collect()) == sorted(
+        (k, d or "", v) for k in range(40) for d, v in want.items())
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    search = next(i for i, line in enumerate(plan) if "array_max(" in line)
+    assert any("Aggregate [_date" in line for line in plan[search:]), plan
