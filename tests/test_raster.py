@@ -286,6 +286,32 @@ def test_far_source_pixels_and_missing_sources(spark):
     assert found[8, 0] == (9, 8, 7) and all(found[8, c] == (0, 0, 0) for c in (1, 2, 3, 4))
 
 
+def test_gather_of_sparse_frames_over_block_borders(spark):
+    """Sums by hand, wide values included; the output is not shuffled."""
+    rng = np.random.default_rng(8)
+    side = remap.BLOCK + 5
+    frame = {(r, c): tuple(map(int, rng.integers(0, 70000, 3))) for r in range(side) for c in range(side)
+             if rng.random() < 0.4 or remap.BLOCK - 2 < r < remap.BLOCK + 2}
+    px = spark.createDataFrame([(t, "c", *k, *v) for t in range(2) for k, v in frame.items()], PX)
+    at = rng.integers(-48, side * 32 + 16, (400, 2))
+    table = spark.createDataFrame([("c", 0, i, x / 32, y / 32, side, side) for i, (y, x) in enumerate(at.tolist())], MAP)
+    want = {}
+    for i, (y, x) in enumerate(at.tolist()):
+        usable = -32 < y < side * 32 and -32 < x < side * 32
+        taps = {((y >> 5) + a, (x >> 5) + b): ((y & 31) if a else 32 - (y & 31)) * ((x & 31) if b else 32 - (x & 31))
+                for a in (0, 1) for b in (0, 1)}
+        taps = {k: w for k, w in taps.items() if usable and w and 0 <= k[0] < side and 0 <= k[1] < side}
+        met = [(w, frame[k]) for k, w in taps.items() if k in frame]
+        if met or not taps:
+            want[i] = tuple((sum(w * v[n] for w, v in met) + 512) >> 10 for n in range(3))
+    found = remap.remap_bilinear(px, table)
+    rows = {t: {r.col: (r.b, r.g, r.r) for r in found.where(f"ts = {t}").collect()} for t in range(2)}
+    assert rows == {0: want, 1: want}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join" in line]
+    assert joins and not any("Exchange" in line for line in plan.splitlines()[:joins[0]]), plan
+
+
 def test_neighbours_stop_at_a_hole(spark):
     cells = [(1, 0, c, v) for c, v in ((0, 10), (1, 20), (3, 100))]
     raster = spark.createDataFrame(cells, "ts int, row int, col int, gray int")
