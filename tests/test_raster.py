@@ -331,6 +331,28 @@ def test_gather_of_many_full_tiles(spark):
         assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
 
 
+def test_tiles_of_sparse_pixels(spark):
+    """Against NumPy; tiles are built without a Python call per tile."""
+    rng = np.random.default_rng(3)
+    cells = {(int(r), int(c)): tuple(map(int, rng.integers(0, 256, 3))) for r, c in rng.integers(0, 23, (90, 2))}
+    px = spark.createDataFrame([(t, "c", *k, *v) for t in range(2) for k, v in cells.items()], PX)
+    for size in (1, 4, 9, 256):
+        made = tiles.to_tiles(px, size)
+        assert made.columns == ["ts", "camera", "tile_row", "tile_col", "height", "width", "data"]
+        want = {}
+        for key in {(r // size, c // size) for r, c in cells}:
+            own = {(r % size, c % size): v for (r, c), v in cells.items() if (r // size, c // size) == key}
+            block = np.zeros((max(r for r, _ in own) + 1, max(c for _, c in own) + 1, 3), np.uint8)
+            for at, v in own.items():
+                block[at] = v
+            want[key] = (*block.shape[:2], block.tobytes())
+        for t in range(2):
+            rows = made.where(f"ts = {t}").collect()
+            assert {(r.tile_row, r.tile_col): (r.height, r.width, bytes(r.data)) for r in rows} == want and len(rows) == len(want)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Arrow" not in plan and plan.count("Exchange") == 1, plan
+
+
 def test_tile_faults(spark):
     rows = [(0, 0, 2, 2, b"x" * 12), (0, 0, 2, 2, b"x" * 11), (0, 1, 0, 2, b""), (1, 0, 2, 2, None), (-1, 0, 1, 1, b"abc"), (0, 0, 5, 2, b"")]
     df = spark.createDataFrame(rows, "tile_row int, tile_col int, height int, width int, data binary")
