@@ -30,13 +30,18 @@ END_ID = 0
 MAGIC = b"MPHIDS01"
 #: Words in a generation of a worker's memory. When one is full, the words used since
 #: then are kept and older ones forgotten.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 #: Marks at a word's end that are a token of their own after a letter or digit.
 END_MARKS = ",.!?;:"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Blanks other than space and line end.
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 _BLANK = re.compile(r"\s")
+#: Words of Latin letters only.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+#: Bytes as byte-level vocabularies write them: printable ones as themselves, others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)).difference(_PRINTABLE)))}
 _INNER_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -167,7 +172,8 @@ class Encoder:
     """Texts to packed ids. For byte-level vocabularies a text is cut at line ends and
     before blanks that stand between two other characters, where its tokens part anyway,
     and the ids of each distinct word are computed once. New words are encoded as the
-    lines of one text, since the call costs more than the word."""
+    lines of one text, since the call costs more than the word. Letters, with or without the
+    blank before them, are one piece of the cut, so Latin words go to the model without it."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -192,7 +198,25 @@ class Encoder:
         return np.array(ids, f"<u{self.width}").tobytes()
 
     def _encode_plain(self, words: list[str], blank: str) -> list[bytes]:
-        """Ids of words without blanks in them, many at a time as lines of a text."""
+        """Ids of words without blanks in them."""
+        letters = [w for w in words if _LETTERS(w)]
+        found = dict(zip(letters, self._encode_letters(letters, blank), strict=True))
+        others = [w for w in words if w not in found]
+        found.update(zip(others, self._encode_lines(others, blank), strict=True))
+        return [found[w] for w in words]
+
+    def _encode_letters(self, words: list[str], blank: str) -> list[bytes]:
+        """Ids of words that are one piece, blank included."""
+        tokenize, kind = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
+        before, out = blank.translate(_BYTE_LEVEL), []
+        for word in words:
+            piece = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            ids = [token.id for token in tokenize(before + piece)]
+            out.append(struct.pack(f"<{len(ids)}{kind}", *ids))
+        return out
+
+    def _encode_lines(self, words: list[str], blank: str) -> list[bytes]:
+        """Ids of words, many at a time as lines of a text."""
         out: list[bytes] = []
         parts = [words[at:at + 2000] for at in range(0, len(words), 2000)]
         texts = [blank + ("\n" + blank).join(part) for part in parts]

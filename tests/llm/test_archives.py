@@ -105,6 +105,18 @@ def test_word_cuts_keep_tokens():
         assert np.frombuffer(packed, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_of_letters_skip_the_cut(monkeypatch):
+    encoder, tokenizer = token_output.Encoder(PATH), Tokenizer.from_file(PATH)
+    lines = []
+    monkeypatch.setattr(encoder, "_encode_lines", lambda words, blank, plain=encoder._encode_lines: (
+        lines.extend(words), plain(words, blank))[1])
+    texts = ["The theaon ofouedti, Ndwhed's nai\u0308ve na\u00efve x2 ABC\nabc Zz. \u0120a \u00c9paie\u00e7\u0142", "The", "", "a  b\n c"]
+    found = encoder.encode(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(set(lines)) == ["Ndwhed's", "nai\u0308ve", "x2"]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 20000])
 def test_perfect_hash(n):
     keys = token_output.hash_keys(np.arange(n) * 7 - 3, np.zeros(n, bool), np.zeros(n, np.int64))
