@@ -90,6 +90,28 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return p.join(q, met).select(F.col("p.vertex").alias("a"), F.col("q.vertex").alias("b"))
 
 
+def _outside_pairs(named: DataFrame) -> DataFrame:
+    """Pairs (p, q) of a crowd's members that can be similar and are not connected, p outside
+    the original's group: rows (vertex, n, own, bucket, root, home, least, common, buckets).
+
+    What two members share is at most what either shares with the original, and besides
+    that what either has that is neither the original's nor its own. A pair is formed in
+    the first of its crowds only.
+    """
+    # members that are within the bound of the smallest member at least
+    outside = (F.col("root") != F.col("home")) & (9 * (F.col("n") - F.col("own")) - 4 * F.col("n") >= 4 * F.col("least"))
+    named = named.withColumn("outside", outside).withColumn(
+        "also", F.greatest(F.col("n") - F.col("common") - F.col("own"), F.lit(0)))
+    p, q = named.where("outside").alias("p"), named.alias("q")
+    most = F.least("p.common", "q.common") + F.least("p.also", "q.also")
+    within = most * 100 >= (F.col("p.n") + F.col("q.n") - most) * SIMILARITY_PERCENT
+    # of two members outside, the smaller one finds the other
+    once = ~F.col("q.outside") | (F.col("p.vertex") < F.col("q.vertex"))
+    first = F.get(F.array_intersect("p.buckets", "q.buckets"), F.lit(0)) == F.col("p.bucket")
+    met = (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.root") != F.col("q.root")) & within & once & first
+    return p.join(q, met).select(F.col("p.vertex").alias("p"), F.col("q.vertex").alias("q"))
+
+
 def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
@@ -147,15 +169,14 @@ def roots(distinct: DataFrame, sets_of) -> DataFrame:
     first = first.union(materialise(verified(more), "near-second"))
     tried = tried.union(more)
     linked = materialise(connected_components(first, "a", "b", "near-edges"), "near-roots")
-    home = original.select("bucket", "least", F.col("q.vertex").alias("vertex")).join(linked, "vertex", "left").select(
-        "bucket", "least", F.coalesce("root", "vertex").alias("home"))
+    home = original.select("bucket", "least", F.col("q.vertex").alias("to")).join(
+        linked.toDF("to", "root"), "to", "left").select("bucket", "least", "to", F.coalesce("root", "to").alias("home"))
     named = crowds.join(linked, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).join(home, "bucket")
-    # members outside the original's group that are within the bound of the smallest member at least
-    outside = (F.col("root") != F.col("home")) & (9 * (F.col("n") - F.col("own")) - 4 * F.col("n") >= 4 * F.col("least"))
-    p, q = named.where(outside).alias("p"), named.alias("q")
-    rest = p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.root") != F.col("q.root")) & _within("p", "q")).select(
-        F.col("p.vertex").alias("p"), F.col("q.vertex").alias("q"))
-    rest = _ordered(rest, "p", "q").distinct()
+    # what each member shares with its original
+    both = named.select("vertex", "to").distinct().join(sets.toDF("vertex", "set_a"), "vertex").join(sets.toDF("to", "set_b"), "to")
+    common = materialise(both.select("vertex", "to", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common")), "near-common")
+    among = crowds.groupBy("vertex").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
+    rest = _ordered(_outside_pairs(named.join(common, ["vertex", "to"]).join(among, "vertex")), "p", "q")
     # pairs already refused need no second comparison
     rest = materialise(verified(rest.join(tried, ["a", "b"], "left_anti")), "near-rest")
     return connected_components(first.union(rest), "a", "b", "near-edges")

@@ -94,3 +94,18 @@ def test_recall_on_the_given_documents(spark):
     docs = table(spark, SMALL, "documents")
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
     assert sorted(r.doc_id for r in stage()(spark, docs, SMALL).collect()) == sorted(plain_first(rows))
+
+
+def test_pairs_of_a_crowd_are_bounded_and_formed_once(spark):
+    """A member just outside the original's group meets only those that share with it what
+    the original lacks, and these in one of their crowds only."""
+    rows = []
+    for bucket in (1, 2, 3):
+        rows.append((bucket, 0, 146, 0, 0, 146))  # the original
+        rows += [(bucket, v, 146, 10, 0, 136) for v in range(1, 200)]  # ten shingles of their own
+        rows.append((bucket, 200, 146, 16, 200, 129))  # outside; shares one shingle more with ...
+        rows.append((bucket, 201, 146, 9, 0, 136))  # ... this one
+    named = spark.createDataFrame(
+        [(b, v, n, own, root, 0, 146, common, [1, 2, 3]) for b, v, n, own, root, common in rows],
+        "bucket long, vertex long, n long, own long, root long, home long, least long, common long, buckets array<long>")
+    assert [tuple(r) for r in near_copies._outside_pairs(named).collect()] == [(200, 201)]
