@@ -53,6 +53,20 @@ def test_identity_map(spark):
         assert (gathered(df, (4, 4)) == IMG).all()
 
 
+def test_listed_pixels_of_small_tiles(spark):
+    """Pixels the map does not list are left out without a join of the output; the tiles of a
+    square travel together."""
+    rng = np.random.default_rng(5)
+    frames = pixel_frame(spark, {(t, "c"): rng.integers(0, 256, (5, 7)) for t in range(3)})
+    table = lookup(spark, "c", rng.uniform(-1, 8, (9, 11)), rng.uniform(-1, 6, (9, 11)), 7, 5).where(
+        "(row * 11 + col) % 3 <> 0 and not (row between 2 and 3 and col between 4 and 5)")
+    ortho = tiles.remap_tiles(tiles.to_tiles(frames, 2), tiles.map_tiles(table, 2, listed=True), size=2)
+    got = tiles.to_pixels(ortho, 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, remap.remap_bilinear(frames, table).select(*got.columns).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "square_tile_row" in plan
+
+
 def test_half_pixel_shift_and_black_outside(spark):
     ys, xs = np.indices((4, 4))
     padded = np.pad(IMG, ((0, 1), (0, 1)))
