@@ -90,7 +90,7 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
         faults = None
         if orthos.in_tiles(given) and not listed.isEmpty():
             # one pass over the pixels: what is wrong with a tile is written beside it
-            tables.write_frames(given.withColumn("error", tiles.tile_fault(size)), f"{folder}/frames")
+            tables.write_frames(given.withColumn("error", tiles.tile_fault(size)), f"{folder}/frames", size=size)
             faults = stored("frames").where("error IS NOT NULL").groupBy("ts", "camera").agg(F.min("error").alias("fault"))
             listed = listed.join(faults, ["ts", "camera"], "left_anti")
         listed = keep(listed, "frames_list")
@@ -98,7 +98,7 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
         if listed.isEmpty():
             return _all(rows)
         if faults is None:
-            tables.write_frames(given.join(listed.select("ts", "camera"), ["ts", "camera"], "left_semi"), f"{folder}/frames")
+            tables.write_frames(given.join(listed.select("ts", "camera"), ["ts", "camera"], "left_semi"), f"{folder}/frames", size=size)
     if "ortho" in stages:
         frames, listed = stored("frames"), stored("frames_list").select("ts", "camera")
         if "error" in frames.columns:
@@ -113,14 +113,14 @@ def run(spark: SparkSession, inputs: RunInputs, folder: str, stages: tuple[str,
         matched = listed.join(found, "camera")
         done = keep(matched.select("ts", "camera", F.col("_calibrated").alias("calibrated")), "orthos_list")
         images = done.select("ts", F.col("calibrated").alias("camera")).distinct()
-        tables.write_orthos(orthos.gather(named, inputs.ortho_map, images, size), inputs.grids, f"{folder}/orthos")
+        tables.write_orthos(orthos.gather(named, inputs.ortho_map, images, size), inputs.grids, f"{folder}/orthos", size=size)
         rows.append(_status("ortho", listed, done, ["ts", "camera"], "no matching calibration"))
     if "mosaic" in stages:
         rasters = stored("orthos/pixels")
         listed = stored("orthos_list").select("ts", F.col("calibrated").alias("camera")).distinct()
         images = orthos.ortho_images(listed, tables.read_stage(spark, f"{folder}/orthos/geo"))
         built = mosaics.build_mosaics(rasters, images, method, seam_quality, resolution, size=size)
-        tables.write_mosaics(built, mosaic.mosaic_geo(images, resolution), f"{folder}/mosaics")
+        tables.write_mosaics(built, mosaic.mosaic_geo(images, resolution), f"{folder}/mosaics", size=size)
         done = stored("mosaics/geo")
         rows.append(_status("mosaic", images.select("ts").distinct(), done, ["ts"], "no mosaic"))
     return _all(rows)

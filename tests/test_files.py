@@ -146,3 +146,27 @@ def test_run_stops_without_frames(spark, tmp_path):
     status = runs.run(spark, inputs(spark, with_frames=False), str(tmp_path / "run"))
     assert counts(status) == {"extract": (0, 5)}
     assert {r.error for r in status.collect()} == {"no frame"}
+
+
+def test_stage_files_follow_bands_not_images_or_tasks(spark, tmp_path):
+    """A time has a file per band, however many cameras and tasks; the work is dealt out."""
+    times = spark.range(40).select(
+        F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"))
+    images = times.crossJoin(spark.range(6).select(F.format_string("%02d", "id").alias("camera")))
+    rows = images.crossJoin(spark.range(3).select(F.col("id").cast("int").alias("row"))).repartition(8).select(
+        "ts", "camera", "row", F.lit(0).alias("col"), *[F.lit(1).alias(c) for c in "bgr"])
+    tables.write_frames(rows, f"{tmp_path}/frames")
+    tables.write_list(images.repartition(8), f"{tmp_path}/list")
+    tables.write_world_files(times.select(
+        F.format_string("m%s", F.date_format("ts", "ddHH")).alias("name"),
+        *[F.lit(1.0).alias(c) for c in ("pixel_width", "rotation_x", "rotation_y", "pixel_height", "x_min", "y_max")]),
+        f"{tmp_path}/world")
+    files = {name: list((tmp_path / name).rglob("part-*")) for name in ("frames", "list", "world")}
+    assert {name: len(found) for name, found in files.items()} == {"frames": 40, "list": 40, "world": 40}
+    for found in files.values():
+        assert len({path.name[:10] for path in found}) > 1  # written by several tasks
+    back = tables.read_stage(spark, f"{tmp_path}/frames")
+    assert back.count() == 720 and back.schema["camera"].dataType.simpleString() == "string"
+    tiled = images.crossJoin(spark.range(5).select(F.col("id").cast("int").alias("tile_row"))).withColumn("data", F.lit(b"x"))
+    tables.write_frames(tiled, f"{tmp_path}/tiles", size=4)
+    assert len(list((tmp_path / "tiles").rglob("part-*"))) == 40
