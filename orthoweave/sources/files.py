@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orthoweave.functions import names
+from orthoweave.operators.tiles import packed
+from orthoweave.sources import images as images_source
 
 GCP_SCHEMA = ("camera_name string, X double, Y double, Z double, "
               "col_sample double, row_sample double")
@@ -30,10 +32,42 @@ def scan_video_files(spark: SparkSession, directory: str, recursive: bool = Fals
     return listed.where(names.has_video_extension("path")).distinct().orderBy("path")
 
 
-def scan_images(spark: SparkSession, directory: str, glob: str = "*.tif*") -> DataFrame:
-    """Decodable images of a folder: path, height, width, n_channels, data (B, G, R bytes)."""
-    read = spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", glob)
-    return read.load(directory).select(
+IMAGE_SCHEMA = "path string, height int, width int, n_channels int, data binary"
+
+
+def scan_images(spark: SparkSession, directory: str, glob: str = "*.tif*", recursive: bool = False) -> DataFrame:
+    """Decodable images of a folder: path, height, width, n_channels, data (B, G, R bytes).
+
+    The files are looked at once before: if all are plain TIFF images, tasks take the bytes
+    as they are; if any is not, Spark's image reader decodes all, several milliseconds each.
+    """
+    def read(kind: str) -> DataFrame:
+        return spark.read.format(kind).option("recursiveFileLookup", recursive).option(
+            "pathGlobFilter", glob).option("dropInvalid", True).load(directory)
+
+    def is_other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [images_source.plain_tiff(memoryview(data.as_buffer())) is None for data in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([True] * sum(found), pa.bool_())], ["other"])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for path, data in zip(batch.column(0), batch.column(1), strict=True):
+                block = images_source.plain_tiff(memoryview(data.as_buffer()))
+                if block is None:
+                    raise ValueError(f"no plain image any more: {path.as_py()}")
+                yield {"path": path.as_py(), "height": block.shape[0], "width": block.shape[1],
+                       "n_channels": 3, "data": block.tobytes()}
+
+    # Spark deals few files to a task, as if each had megabytes
+    files = read("binaryFile").select(_plain_path("_metadata.file_path").alias("path"), "content").coalesce(
+        int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if files.select("content").mapInArrow(is_other, "other boolean").limit(1).count() == 0:
+        schema = pa.schema([("path", pa.string()), ("height", pa.int32()), ("width", pa.int32()),
+                            ("n_channels", pa.int32()), ("data", pa.binary())])
+        return files.mapInArrow(
+            lambda batches: packed(decode(batches), schema), IMAGE_SCHEMA)
+    return read("image").select(
         _plain_path("image.origin").alias("path"),
         F.col("image.height").alias("height"), F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("n_channels"), F.col("image.data").alias("data"))
@@ -74,22 +108,23 @@ TILE_SCHEMA = ("path string, tile_row int, tile_col int, height int, width int,
 def image_tiles(images: DataFrame, size: int = 256) -> DataFrame:
     """Tiles (path, tile_row, tile_col, height, width, image_height, image_width, data) of
     scanned images, cut inside the task that holds the image: no pixel rows, no shuffle."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("path", pa.string()), *[(n, pa.int32()) for n in (
+        "tile_row", "tile_col", "height", "width", "image_height", "image_width")], ("data", pa.binary())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for image in batch.to_pylist():
                 array = decode_bgr(image["data"], image["height"], image["width"], image["n_channels"])
                 for top in range(0, image["height"], size):
-                    parts = [array[top:top + size, left:left + size] for left in range(0, image["width"], size)]
-                    ints = {
-                        "tile_row": [top // size] * len(parts), "tile_col": range(len(parts)),
-                        "height": [p.shape[0] for p in parts], "width": [p.shape[1] for p in parts],
-                        "image_height": [image["height"]] * len(parts), "image_width": [image["width"]] * len(parts)}
-                    yield pa.RecordBatch.from_pydict({
-                        "path": pa.array([image["path"]] * len(parts), pa.string()),
-                        **{k: pa.array(v, pa.int32()) for k, v in ints.items()},
-                        "data": pa.array([p.tobytes() for p in parts], pa.binary())})
-
-    return images.select("path", "height", "width", "n_channels", "data").mapInArrow(cut, TILE_SCHEMA)
+                    for left in range(0, image["width"], size):
+                        part = array[top:top + size, left:left + size]
+                        yield {
+                            "path": image["path"], "tile_row": top // size, "tile_col": left // size,
+                            "height": part.shape[0], "width": part.shape[1],
+                            "image_height": image["height"], "image_width": image["width"], "data": part.tobytes()}
+
+    return images.select("path", "height", "width", "n_channels", "data").mapInArrow(
+        lambda batches: packed(cut(batches), schema), TILE_SCHEMA)
 
 
 def scan_world_files(spark: SparkSession, directory: str, glob: str = "*.tfw") -> DataFrame:

@@ -122,7 +122,7 @@ def scan_images(spark, sf_dir):
     blocks = tiles.to_tiles(views.pixels(spark, sf_dir), views.SIDE)
     path = F.concat(F.lit("ts"), F.col("ts").cast("string"), F.lit("/"), F.col("camera").cast("string"), F.lit(".tif"))
     folder = _written(images_source.as_tiff(blocks.select(path.alias("path"), "height", "width", "data")), work_dir(spark, "images"))
-    cut = files.image_tiles(files.scan_images(spark, folder + "/*"), SUITE_TILE).withColumnRenamed("path", "camera")
+    cut = files.image_tiles(files.scan_images(spark, folder, recursive=True), SUITE_TILE).withColumnRenamed("path", "camera")
     return tiles.to_pixels(cut, SUITE_TILE).withColumn(
         "path", F.regexp_extract("camera", "(ts[^/]*/[^/]*)$", 1)).drop("camera")
 

@@ -170,3 +170,44 @@ def test_stage_files_follow_bands_not_images_or_tasks(spark, tmp_path):
     tiled = images.crossJoin(spark.range(5).select(F.col("id").cast("int").alias("tile_row"))).withColumn("data", F.lit(b"x"))
     tables.write_frames(tiled, f"{tmp_path}/tiles", size=4)
     assert len(list((tmp_path / "tiles").rglob("part-*"))) == 40
+
+
+def strips_tiff(block, order=">", extra=()):
+    """The image in strips of two rows, in another byte order, with more tags (tag, kind, value)."""
+    height, width = block.shape[:2]
+    strips = [block[top:top + 2, :, ::-1].tobytes() for top in range(0, height, 2)]
+    data, places = b"".join(strips), np.cumsum([8, *map(len, strips[:-1])]).tolist()
+    data += bytes(len(data) % 2)
+    tags = [(256, 3, [width]), (257, 3, [height]), (258, 3, [8, 8, 8]), (259, 3, [1]), (262, 3, [2]), (273, 4, places),
+            (277, 3, [3]), (278, 3, [2]), (279, 4, list(map(len, strips))), *[(t, k, [v]) for t, k, v in extra]]
+    after, entries = b"", b""
+    at = 8 + len(data) + 2 + 12 * len(tags) + 4
+    for tag, kind, values in sorted(tags):
+        packed = struct.pack(f"{order}{len(values)}{'H' if kind == 3 else 'I'}", *values)
+        place = packed.ljust(4, b"\0") if len(packed) <= 4 else struct.pack(f"{order}I", at + len(after))
+        after += packed if len(packed) > 4 else b""
+        entries += struct.pack(f"{order}HHI", tag, kind, len(values)) + place
+    head = (b"MM\0*" if order == ">" else b"II*\0") + struct.pack(f"{order}I", 8 + len(data))
+    return head + data + struct.pack(f"{order}H", len(tags)) + entries + bytes(4) + after
+
+
+def test_plain_images_are_read_as_they_are(spark, tmp_path):
+    """Folders of plain files do not go through the image reader, and give what it gives."""
+    rng = np.random.default_rng(6)
+    (tmp_path / "a b").mkdir()
+    blocks = {f"a b/{n}.tif": rng.integers(0, 256, (5, 3 + n, 3)).astype(np.uint8) for n in range(4)}
+    for n, (name, block) in enumerate(blocks.items()):
+        made = (images.tiff_bytes(block), strips_tiff(block), strips_tiff(block, "<"), strips_tiff(block, "<", [(284, 3, 1), (296, 3, 2)]))[n]
+        (tmp_path / name).write_bytes(made)
+        assert (images.plain_tiff(made) == block).all()
+    plain = files.scan_images(spark, str(tmp_path), recursive=True)
+    assert "FileScan image" not in plain._jdf.queryExecution().executedPlan().toString()
+    whole = strips_tiff(blocks["a b/0.tif"])
+    for other in (whole[:20], whole[:-30], b"", strips_tiff(blocks["a b/0.tif"], extra=[(274, 3, 6)]), strips_tiff(blocks["a b/0.tif"], extra=[(284, 3, 2)])):
+        assert images.plain_tiff(other) is None
+    (tmp_path / "bad.tif").write_bytes(b"no image")
+    decoded = files.scan_images(spark, str(tmp_path), recursive=True)
+    assert "FileScan image" in decoded._jdf.queryExecution().executedPlan().toString()
+    found = [sorted(map(tuple, df.collect())) for df in (plain, decoded)]
+    assert found[0] == found[1]
+    assert [r[0].rsplit("/", 2)[-1] for r in found[0]] == [f"{n}.tif" for n in range(4)]
