@@ -53,3 +53,11 @@ def test_blocks_together_as_one_by_one():
     for i, one in enumerate(gray):
         for n, values in tile_costs.measure(one, tile_costs.VARIANCE_RIM, tile_costs.MEASURES).items():
             assert (both[n][i] == values).all()
+
+
+def test_small_tiles_are_cut_by_all_tasks(spark):
+    """Their bytes would be one task's; tiles of full size are not shuffled for it."""
+    wide = spark.range(4).select("id", F.lit(1).alias("tile_row"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tiles.dealt(wide.coalesce(1), 3, "id").rdd.getNumPartitions() == n
+    assert tiles.dealt(wide.coalesce(1), tiles.TILE, "id").rdd.getNumPartitions() == 1
