@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,3 +301,32 @@ def test_line_query_takes_short_lines(spark, tmp_path):
     rows = [(i, "\n".join([*rng.sample(menu, 6), sentence(rng, 14)])) for i in range(12)]
     want = similar_groups(rows, 20)
     assert len(want) > 30 and query_removes(spark, tmp_path, rows) == want
+
+
+def test_line_keys_tell_long_lines_apart(spark):
+    """Lines of one language share many grams and short words, yet few keys; copies share some."""
+    rng = random.Random(3)
+    parts = ["an", "ber", "che", "der", "en", "er", "ge", "heit", "ich", "keit", "lich", "nd", "sch", "tz", "un", "ver"]
+    lines = []
+    for _ in range(250):
+        words = ["".join(rng.choices(parts, k=rng.choice((1, 1, 2, 3)))) for _ in range(90)]
+        lines += [" ".join(words), " ".join("zzz" if i % 20 == 7 else w for i, w in enumerate(words))]
+    frame = spark.createDataFrame(list(enumerate(lines)), "line_key long, norm string")
+    groups = {}
+    for r in line_dedup.line_keys(frame).collect():
+        for k in r["keys"]:
+            groups.setdefault(k, set()).add(r.line_key)
+    pairs = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    copies = {(i, i + 1) for i in range(0, len(lines), 2)}
+    assert copies <= pairs and len(pairs - copies) <= len(lines)
+
+
+def test_agreeing_minima(spark):
+    """Equal bytes of two sketches, their signs included."""
+    rng = random.Random(4)
+    rows = [[rng.getrandbits(64) - (1 << 63) for _ in range(4)] for _ in range(50)]
+    rows = [[a, b, a ^ (0xFF << 8 * rng.randrange(7)), d] for a, b, _, d in rows] + [[-1, 1, -1, 1], [0, 0, -1, -1]]
+    frame = spark.createDataFrame(rows, "a0 long, a1 long, b0 long, b1 long")
+    for r in frame.select("*", line_dedup.agreeing("a", "b", 2).alias("n")).collect():
+        mine, other = ((np.array(x, np.int64).view(np.uint8)) for x in ([r.a0, r.a1], [r.b0, r.b1]))
+        assert r.n == (mine == other).sum()
