@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orthoweave.llm import decontamination, line_dedup, suffix_dedup
+from orthoweave.llm import common, decontamination, line_dedup, suffix_dedup
 
 from .conftest import DOCS, sentence
 
@@ -330,3 +330,58 @@ def test_agreeing_minima(spark):
     for r in frame.select("*", line_dedup.agreeing("a", "b", 2).alias("n")).collect():
         mine, other = ((np.array(x, np.int64).view(np.uint8)) for x in ([r.a0, r.a1], [r.b0, r.b1]))
         assert r.n == (mine == other).sum()
+
+
+def test_linked_in_parts(spark, rng):
+    """Buckets in parts; pairs with a pivot are compared once, and pairs that are not near
+    are never given to the comparison."""
+    rows = sorted({(v, 0, rng.randint(0, 8)) for v in range(60) for _ in range(2)})
+    parts = [spark.createDataFrame([r for r in rows if r[2] % 3 == k], "vertex long, mark int, bucket long") for k in range(3)]
+    members = {b: sorted(v for v, _, x in rows if x == b) for b in range(9)}
+    pairs = {(a, b) for m in members.values() for a in m for b in m if a < b}
+    close = lambda a, b: (a * 7 + b * 3) % 5 < 2
+    is_right = lambda a, b: (a + b) % 11 == 0
+    is_near = lambda p, q: (F.col(f"{p}.vertex") * 7 + F.col(f"{q}.vertex") * 3) % 5 < 2
+    given = []
+
+    def passed(found):
+        given.extend((r.a, r.b) for r in found.collect())
+        return found.where((F.col("a") + F.col("b")) % 11 == 0)
+
+    def prepare(vertices):
+        right = lambda found: found.where(((F.col("a") * 7 + F.col("b") * 3) % 5 < 2) & ((F.col("a") + F.col("b")) % 11 == 0))
+        return common.Candidates(right, vertices, is_near, passed)
+
+    roots = {v: v for v in range(60)}
+    while True:
+        before = dict(roots)
+        for a, b in pairs:
+            if close(a, b) and is_right(a, b):
+                roots[a] = roots[b] = min(roots[a], roots[b])
+        if roots == before:
+            break
+    found = common.linked(parts, lambda p, q: p == q, prepare, "test").collect()
+    assert {r.vertex: r.root for r in found} == {v: r for v, r in roots.items() if v != r}
+    inner = {(a, b) for m in members.values() for a in m[1:-1] for b in m[1:-1] if a < b}
+    assert given and len(given) == len(set(given))
+    assert set(given) <= {(a, b) for a, b in inner if close(a, b)}
+
+
+def test_line_query_removes_its_keys(spark, tmp_path, monkeypatch):
+    """Parts are written one after the other, and the keys go when the sketches are there."""
+    numbers = iter(range(1000))
+    monkeypatch.setattr(common, "work_dir", lambda spark, purpose: f"{tmp_path}/shared/{purpose}-{next(numbers)}")
+    real, seen = line_dedup.materialise_parts, []
+
+    def watched(parts, purpose):
+        seen.append((purpose, len(parts)))
+        return real(parts, purpose)
+
+    monkeypatch.setattr(line_dedup, "materialise_parts", watched)
+    line = "the quick brown fox jumps over the lazy dog while nobody at all is looking at number {}"
+    docs = spark.createDataFrame([(i, line.format(i) + "\nother text", "en", "a", 1) for i in range(9)], DOCS)
+    got = {r.doc_id: r.n_removed for r in line_dedup.decisions(docs, whole=True).collect()}
+    assert got == {i: 0 if i == 0 else 2 for i in range(9)}
+    assert seen == [("lines-keys", line_dedup.PARTS), ("lines-texts", line_dedup.PARTS)]
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir()}
+    assert "lines-sketches" in left and "lines-keys" not in left
