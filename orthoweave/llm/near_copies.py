@@ -135,7 +135,8 @@ def roots(distinct: DataFrame, sets_of) -> DataFrame:
     sets_of gives (vertex, shingles) for a table of vertices."""
     keyed = distinct.select("vertex", "n", F.explode("keys").alias("bucket"))
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    shared = materialise(keyed.join(sizes, "bucket").withColumn("own", F.lit(0).cast("long")), "near-shared")
+    # KEYS rows of each set, which Spark counts as one: never a broadcast
+    shared = materialise(keyed.join(sizes.hint("merge"), "bucket").withColumn("own", F.lit(0).cast("long")), "near-shared")
     by_print = materialise(_by_simhash(distinct), "near-prints")
     involved = shared.select("vertex").union(by_print.select("a")).union(by_print.select("b")).distinct()
     sets = materialise(sets_of(involved), "near-sets")

@@ -97,7 +97,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         chosen = chosen | (earlier & one & (left_out == place))
         earlier = earlier & ~one
     near = (F.bit_count(differ) <= max_bits) & chosen
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & near)
+    # 64 rows of each fingerprint, which Spark counts as one: never a broadcast
+    pairs = a.join(b.hint("merge"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & near)
     return pairs.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 

@@ -3,8 +3,9 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
-from orthoweave.llm import near_copies
+from orthoweave.llm import near_copies, simhash
 from orthoweave.llm.common import table
 
 from .conftest import DOCS, SMALL, sentence
@@ -109,3 +110,27 @@ def test_pairs_of_a_crowd_are_bounded_and_formed_once(spark):
         [(b, v, n, own, root, 0, 146, common, [1, 2, 3]) for b, v, n, own, root, common in rows],
         "bucket long, vertex long, n long, own long, root long, home long, least long, common long, buckets array<long>")
     assert [tuple(r) for r in near_copies._outside_pairs(named).collect()] == [(200, 201)]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_keys_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes a table of keys to be as small as the table that they come from."""
+    rows = spark.range(500).select(F.xxhash64("id").alias("fp"), F.col("id").alias("vertex"), F.lit(9).cast("long").alias("n"),
+                                   F.array(F.xxhash64("id")).alias("keys"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plan = plan_of(simhash.links(rows.select("fp")))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    plans = {}
+    real = near_copies.materialise
+
+    def watched(df, purpose):
+        plans[purpose] = plan_of(df)
+        return real(df, purpose)
+
+    monkeypatch.setattr(near_copies, "materialise", watched)
+    near_copies.roots(rows, lambda v: v.select("vertex", F.array(F.col("vertex")).alias("shingles"))).collect()
+    assert "SortMergeJoin" in plans["near-shared"] and "Broadcast" not in plans["near-shared"]
