@@ -8,6 +8,7 @@ from orthoweave.functions import pixels
 from orthoweave.operators import dem as dem_ops
 from orthoweave.operators import mosaic, neighbourhood, remap, tiles
 from orthoweave.plans import mosaics
+from orthoweave.suite import views
 
 PX = "ts long, camera string, row int, col int, b int, g int, r int"
 MAP = "camera string, row int, col int, src_x float, src_y float, image_width int, image_height int"
@@ -373,3 +374,31 @@ def test_tile_faults(spark):
     found = [r.fault for r in df.select(tiles.tile_fault(4).alias("fault")).collect()]
     assert found == [None, "tile (0, 0): 11 bytes for 2 x 2", "tile (0, 1): size 0 x 2", "tile (1, 0): no data",
                      "tile (-1, 0): no such place", "tile (0, 0): size 5 x 2"]
+
+
+TABLES = "/root/testdata/sf0.001"
+
+
+def test_gather_in_parts_of_the_map(spark, monkeypatch):
+    """A map's rows are cut into parts and not repeated for a camera with few timestamps."""
+    lookup = views.lookup_map(spark, TABLES)
+    pixels = views.pixels(spark, TABLES)
+    whole = remap.remap_bilinear(pixels, lookup)
+    assert "sequence(0, 15" not in whole._jdf.queryExecution().toString()
+    expected = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(remap, "PART_ROWS", 3)
+    monkeypatch.setattr(remap, "PART_TIMES", 2)
+    assert sorted(map(tuple, remap.remap_bilinear(pixels, lookup).collect())) == expected
+    n_images, n_rows = views.images(spark, TABLES).groupBy("camera").count(), lookup.groupBy("camera").count()
+    assert len(expected) == n_images.toDF("camera", "n").join(n_rows.toDF("camera", "m"), "camera").selectExpr("sum(n * m)").first()[0]
+
+
+def test_sight_from_places_and_from_taps(spark):
+    """Output pixels see something exactly where they have a tap, at the borders of the image too."""
+    at = [-2.0, -1.0, -0.999, -0.99, -0.5, 0.0, 0.5, 6.99, 7.0, 7.01, 7.5, 7.99, 8.0, float("nan"), None]
+    rows = [("c", i, j, x, y, 8, 8) for i, x in enumerate(at) for j, y in enumerate(at)]
+    lookup = spark.createDataFrame(rows, "camera string, row int, col int, src_x float, src_y float, image_width int, image_height int")
+    taps = {(r.out_row, r.out_col) for r in remap.bilinear_taps(lookup).collect()}
+    blind = {(r.out_row, r.out_col) for r in remap.blind_pixels(lookup).collect()}
+    assert not taps & blind and len(taps | blind) == len(rows)
+    assert {(r.row, r.col) for r in remap._block_taps(lookup).collect()} == taps
