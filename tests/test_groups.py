@@ -61,3 +61,25 @@ def test_small_tiles_are_cut_by_all_tasks(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert tiles.dealt(wide.coalesce(1), 3, "id").rdd.getNumPartitions() == n
     assert tiles.dealt(wide.coalesce(1), tiles.TILE, "id").rdd.getNumPartitions() == 1
+
+
+def test_lookup_tiles_have_no_group_of_their_own(spark):
+    """A map's tiles are read as a stream, whole even where batches cut them."""
+    rows = [(c, r, k, float(r), float(k), 9, 9) for c in range(2) for r in range(7) for k in range(5) if (r + k) % 4]
+    lookup = spark.createDataFrame(rows, "camera int, row int, col int, src_x float, src_y float, image_width int, image_height int")
+    cut = tiles.map_tiles(lookup, 3, listed=True)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "GroupsInArrow" not in plan
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        found = cut.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(found) == 2 * 3 * 2 == len({(t.camera, t.tile_row, t.tile_col) for t in found})
+    back = set()
+    for t in found:
+        x, y = (np.frombuffer(v, np.float32).reshape(t.height, t.width) for v in (t.src_x, t.src_y))
+        listed = np.unpackbits(np.frombuffer(t.listed, np.uint8))[:t.height * t.width].reshape(t.height, t.width)
+        back |= {(t.camera, t.tile_row * 3 + i, t.tile_col * 3 + j, float(x[i, j]), float(y[i, j]), 9, 9) for i, j in np.argwhere(listed).tolist()}
+    assert back == set(rows)
